@@ -1,0 +1,110 @@
+"""Score groups of rows one after the other, as they become ready.
+
+The rows of each input table lie in folders per group, in as many files as they
+need. A group is ready once a small marker for it appears. The stream takes one
+marker at a time, in order of arrival, reads the group's rows of all tables and
+appends the scores.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomwork.operators.skew import typed
+
+MARKERS = "_ready"
+GROUP = "_group"
+
+
+def land(df: DataFrame, group: str, path: str) -> None:
+    """Write a table into one folder per group."""
+    (
+        df.withColumn(GROUP, F.col(group))
+        .write.mode("overwrite")
+        .partitionBy(GROUP)
+        .parquet(path)
+    )
+
+
+def group_order(df: DataFrame, group: str, order_by: list[str]) -> DataFrame:
+    """The groups in order of their first row."""
+    return (
+        df.groupBy(group)
+        .agg(F.min(F.struct(*order_by)).alias("_first"))
+        .orderBy("_first", group)
+        .select(group)
+    )
+
+
+def mark_ready(spark: SparkSession, group_id, landing: str) -> None:
+    """Tell the stream that all rows of a group are in place."""
+    row = spark.createDataFrame([(str(group_id),)], f"{GROUP} string")
+    row.coalesce(1).write.mode("append").json(f"{landing}/{MARKERS}")
+
+
+def score_groups(
+    spark: SparkSession,
+    landing: str,
+    tables: list[str],
+    group: str,
+    score: Callable[..., DataFrame],
+    out: str,
+    keep_group: bool = True,
+) -> None:
+    """Score every group that is ready: ``score(*frames)``, one frame per table.
+
+    ``tables`` names two or more folders under ``landing``. Each group is written to
+    its own folder of ``out``, so a group that is scored again after a failure
+    replaces its rows. ``keep_group`` leaves the group column in the frames.
+    """
+    if len(tables) < 2:
+        raise ValueError("name at least two tables")
+    frames = {name: spark.read.parquet(f"{landing}/{name}") for name in tables}
+
+    def one_group(marker: DataFrame, batch_id: int) -> None:
+        # maxFilesPerTrigger makes a batch one marker, that is one row
+        (group_id,) = marker.first()
+        served = []
+        for frame in frames.values():
+            rows = frame.where(F.col(GROUP) == typed(frame, GROUP, group_id)).drop(GROUP)
+            served.append(rows if keep_group else rows.drop(group))
+        scored = score(*served)
+        scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = (
+        spark.readStream.schema(f"{GROUP} string")
+        .option("maxFilesPerTrigger", 1)
+        .json(f"{landing}/{MARKERS}")
+        .writeStream.foreachBatch(one_group)
+        .option("checkpointLocation", f"{out}/_progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def replay(
+    spark: SparkSession,
+    inputs: dict[str, DataFrame],
+    group: str,
+    order_by: list[str],
+    score: Callable[..., DataFrame],
+    landing: str,
+    out: str,
+    keep_group: bool = True,
+) -> DataFrame:
+    """Land the tables, make their groups ready in order of first row, and score them.
+
+    Only group ids pass through the driver, one at a time. Gives the scores with
+    ``batch``, the number of the group in order.
+    """
+    for name, df in inputs.items():
+        land(df, group, f"{landing}/{name}")
+    first = next(iter(inputs.values()))
+    for row in group_order(first, group, order_by).toLocalIterator():
+        mark_ready(spark, row[0], landing)
+    score_groups(spark, landing, list(inputs), group, score, out, keep_group)
+    return spark.read.parquet(out)
