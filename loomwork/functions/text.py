@@ -42,19 +42,9 @@ def shingles(words: Column, k: int) -> Column:
     return F.array_distinct(joined)
 
 
-def md5_mod(text: Column) -> Column:
-    """The 128-bit md5 value of ``text`` modulo 2^31-1.
-
-    Both 64-bit halves are read as signed numbers; 2^64 is 4 modulo the prime, so
-    a negative half is put right by adding 4 and the upper half weighs 4.
-    """
-    digest = F.md5(text)
-
-    def half(start: int) -> Column:
-        signed = F.conv(F.substring(digest, start, 16), 16, -10).cast("bigint")
-        return F.pmod(signed, F.lit(PRIME)) + F.when(signed < 0, 4).otherwise(0)
-
-    return (half(1) * 4 + half(17)) % F.lit(PRIME)
+def digests(values: Column) -> Column:
+    """The md5 digests of an array of texts, 16 bytes each, as one binary value."""
+    return F.unhex(F.array_join(F.transform(values, F.md5), ""))
 
 
 def hash_parameters(num_hashes: int, seed: int = 42) -> list[tuple[int, int]]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.functions.rowstats import row_statistics
+from loomwork.functions.rowstats import add_row_statistics
 from loomwork.operators.ordered import BLOCK_ROWS, interpolate, lag_diff
 from loomwork.operators.skew import SALT_ROWS, attach, hot_keys
 
@@ -76,45 +76,51 @@ def book_features(
             "depth_pressure2": volume * (F.col("far_price") + F.col("near_price")),
         }
     )
-    weighted = attach(
-        basic,
-        weights.select("stock_id", F.col("weight").alias("stock_weight")),
-        ["stock_id"],
-        spread,
-        "left",
-        salt_rows=salt_rows,
-    ).withColumn("weighted_wap", F.col("stock_weight") * F.col("wap"))
-    indexed = weighted_index(weighted, spread, salt_rows)
     moved = lag_diff(
-        indexed, ["imbalance_size", "bid_ask_spread"], ["stock_id"], order_by, block_rows=block_rows
-    )
-    return moved.withColumns(
+        basic, ["imbalance_size", "bid_ask_spread"], ["stock_id"], order_by, block_rows=block_rows
+    ).withColumns(
         {
             "imbalance_momentum": F.try_divide("imbalance_size_diff1", "matched_size"),
             "spread_intensity": F.col("bid_ask_spread_diff1"),
         }
-    ).drop("imbalance_size_diff1", "bid_ask_spread_diff1")
+    )
+    index = weighted_index(df, weights)
+    weighted = moved.join(_stock_weights(weights), "stock_id", "left").withColumn(
+        "weighted_wap", F.col("stock_weight") * F.col("wap")
+    )
+    return (
+        attach(
+            weighted,
+            index.select("time_id", "indexwap"),
+            ["time_id"],
+            spread,
+            "left",
+            counts=index,
+            salt_rows=salt_rows,
+        )
+        .withColumn("indexwapdiff", F.col("wap") - F.col("indexwap"))
+        .drop("imbalance_size_diff1", "bid_ask_spread_diff1")
+    )
 
 
-def weighted_index(df: DataFrame, spread: list[str], salt_rows: int = SALT_ROWS) -> DataFrame:
-    """The weighted mean of ``wap`` per time step, and each row's distance from it.
+def _stock_weights(weights: DataFrame) -> DataFrame:
+    return weights.select("stock_id", F.col("weight").alias("stock_weight"))
+
+
+def weighted_index(df: DataFrame, weights: DataFrame) -> DataFrame:
+    """The weighted mean of ``wap`` per time step: ``time_id, indexwap``, and its rows.
 
     A row without ``wap`` adds nothing to the sum but keeps its weight.
     """
-    index = df.groupBy("time_id").agg(
-        F.try_divide(F.sum("weighted_wap"), F.sum("stock_weight")).alias("indexwap"),
-        F.count(F.lit(1)).alias("_rows"),
+    weighted = df.select("stock_id", "time_id", "wap").join(
+        _stock_weights(weights), "stock_id", "left"
     )
-    rows = attach(
-        df,
-        index.select("time_id", "indexwap"),
-        ["time_id"],
-        spread,
-        "left",
-        counts=index,
-        salt_rows=salt_rows,
+    return weighted.groupBy("time_id").agg(
+        F.try_divide(F.sum(F.col("stock_weight") * F.col("wap")), F.sum("stock_weight")).alias(
+            "indexwap"
+        ),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    return rows.withColumn("indexwapdiff", F.col("wap") - F.col("indexwap"))
 
 
 def medians(
@@ -224,11 +230,9 @@ def time_features(df: DataFrame) -> DataFrame:
 def row_stats(df: DataFrame, groups: dict[str, list[str]] | None = None) -> DataFrame:
     """Mean, std, skew, kurtosis and max across the columns of each group."""
     groups = groups or {"all_prices": PRICE_COLS, "all_sizes": SIZE_COLS}
-    added = {}
     for name, columns in groups.items():
-        for statistic, value in row_statistics(columns).items():
-            added[f"{name}_{statistic}"] = value
-    return df.withColumns(added)
+        df = add_row_statistics(df, name, columns)
+    return df
 
 
 _INTEGERS = [(T.ByteType(), 7), (T.ShortType(), 15), (T.IntegerType(), 31)]

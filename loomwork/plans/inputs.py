@@ -55,7 +55,12 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    """Documents, spread over all cores where the file has fewer splits than that."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, "doc_id")
+    return rows
 
 
 def doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
