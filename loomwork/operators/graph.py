@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,8 +130,12 @@ def _partitions(df: DataFrame) -> int:
 
 
 def _laid_out(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` written once by ``keys``, so that the joins of all rounds find it in place."""
-    return cut_lineage(df.repartition(_partitions(df), *keys).sortWithinPartitions(*keys))
+    """``df`` kept by ``keys``, so that the joins of all rounds find it in place.
+
+    Blocks that are lost with an executor are computed again.
+    """
+    placed = df.repartition(_partitions(df), *keys).sortWithinPartitions(*keys)
+    return placed.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _by_end(weighted: DataFrame, end: str, other: str, hot: DataFrame) -> DataFrame:
@@ -176,7 +181,7 @@ def pagerank(
     are not shuffled again; a round moves one value per node and salt, and the
     partial sums per target.
     """
-    weighted = _weighted(edges)
+    weighted = cut_lineage(_weighted(edges))
     totals = weighted.groupBy("src").agg(
         F.sum("edges").alias("_total"), F.count(F.lit(1)).alias("_rows")
     )
@@ -187,7 +192,7 @@ def pagerank(
         .select("src", SALT, "dst", (F.col("edges") / F.col("_total")).alias("weight"))
     )
     by_src = _laid_out(shares, "src", SALT)
-    vertices = _node_table(edges, salts=hot)
+    vertices = _node_table(weighted, salts=hot)
     size = vertices.count()
     if size == 0:
         return vertices.select("id", F.lit(0.0).alias("rank"))
@@ -198,48 +203,55 @@ def pagerank(
         received = _sent(by_src, "src", state, "salts", F.col("rank"), "dst")
         rank = F.lit(base) + F.lit(damping) * F.coalesce("_sum", F.lit(0.0))
         state = vertices.join(received, "id", "left").select("id", "salts", rank.alias("rank"))
-        if done % ROUNDS_PER_CUT == 0 and done < iters:
+        if done % ROUNDS_PER_CUT == 0 or done == iters:
             state = cut_lineage(state)
+    for layout in (by_src, vertices):
+        layout.unpersist()
     return state.select("id", "rank")
 
 
-def _unit(value: str, norm: Column) -> Column:
-    return F.coalesce(F.try_divide(F.col(value), norm), F.lit(0.0))
+def _summed(table: DataFrame, sums: DataFrame, name: str) -> DataFrame:
+    """``table`` with what each node received, 0 where it received nothing."""
+    received = F.coalesce("_sum", F.lit(0.0)).alias(name)
+    return table.join(sums, "id", "left").select(*table.columns, received)
+
+
+def _unit(df: DataFrame, value: str) -> Column:
+    """The column divided by its L2 norm; all zero if the norm is."""
+    norm = df.select(F.sqrt(F.sum(F.col(value) * F.col(value)))).scalar()
+    return F.coalesce(F.try_divide(F.col(value), norm), F.lit(0.0)).alias(value)
 
 
 def hits(edges: DataFrame, iters: int = 10, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Hub and authority scores after ``iters`` rounds: ``id, hub, auth``, unit L2 norm.
 
-    The hub step uses the round's new authorities. Both steps are linear, so
-    dividing by the norms once, at the end of the round, gives the same vectors as
-    dividing after each step, and saves a pass over the state.
+    The hub step uses the round's new authorities. Both steps are linear, so the
+    vectors come out the same whether they are divided by their norms after each
+    step or only before each lineage cut; in between they stay far from overflow.
     """
-    weighted = _weighted(edges).withColumnRenamed("edges", "weight")
+    weighted = cut_lineage(_weighted(edges).withColumnRenamed("edges", "weight"))
     out_counts = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
     in_counts = weighted.groupBy("dst").agg(F.count(F.lit(1)).alias("_rows"))
     hot_src = hot_keys(out_counts, ["src"], "_rows", salt_rows)
     hot_dst = hot_keys(in_counts, ["dst"], "_rows", salt_rows)
     by_src = _by_end(weighted, "src", "dst", hot_src)
     by_dst = _by_end(weighted, "dst", "src", hot_dst)
-    vertices = _node_table(edges, out_salts=hot_src, in_salts=hot_dst)
-
-    state = vertices.withColumn("hub", F.lit(1.0)).withColumn("auth", F.lit(1.0))
-    for _ in range(iters):
-        auth = _sent(by_src, "src", state, "out_salts", F.col("hub"), "dst")
-        auth = vertices.join(auth, "id", "left").withColumn("auth", F.coalesce("_sum", F.lit(0.0)))
-        auth = auth.drop("_sum")
-        hub = _sent(by_dst, "dst", auth, "in_salts", F.col("auth"), "src")
-        raw = cut_lineage(
-            auth.join(hub, "id", "left").withColumn("hub", F.coalesce("_sum", F.lit(0.0)))
-        )
-        norms = [
-            raw.select(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar() for c in ("hub", "auth")
-        ]
-        state = raw.select(
-            "id",
-            "out_salts",
-            "in_salts",
-            _unit("hub", norms[0]).alias("hub"),
-            _unit("auth", norms[1]).alias("auth"),
+    vertices = _node_table(weighted, out_salts=hot_src, in_salts=hot_dst)
+
+    state = hubs = vertices.withColumn("hub", F.lit(1.0)).withColumn("auth", F.lit(1.0))
+    for done in range(1, iters + 1):
+        auths = _summed(
+            vertices, _sent(by_src, "src", hubs, "out_salts", F.col("hub"), "dst"), "auth"
         )
+        sent = _sent(by_dst, "dst", auths, "in_salts", F.col("auth"), "src")
+        if done % ROUNDS_PER_CUT == 0 or done == iters:
+            raw = cut_lineage(_summed(auths, sent, "hub"))
+            state = hubs = raw.select(
+                "id", "out_salts", "in_salts", _unit(raw, "hub"), _unit(raw, "auth")
+            )
+        else:
+            # the next round needs the hubs only, which keeps the plan one chain
+            hubs = _summed(vertices, sent, "hub")
+    for layout in (by_src, by_dst, vertices):
+        layout.unpersist()
     return state.select("id", "hub", "auth")

@@ -29,16 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
-
-    Partitioning and order of ``df`` are kept, so a later join on the same keys
-    does not shuffle it again.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def working_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there."""
+    path = working_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
