@@ -1,0 +1,127 @@
+import pytest
+from pyspark.sql import functions as F
+
+from loomwork.operators import ratings as rating_ops
+from loomwork.shared import cut_lineage, shared_folder
+from loomwork.sources import records, sinks, tables
+
+SGM = """<!DOCTYPE lewis SYSTEM "lewis.dtd">
+<REUTERS TOPICS="YES" LEWISSPLIT="TRAIN" NEWID="1">
+<TOPICS><D>cocoa</D><D></D><D>coffee</D></TOPICS>
+<TEXT>&#2;<TITLE>A title</TITLE><BODY>  First body &lt;b> &amp; more
+second line. &#3;</BODY></TEXT>
+</REUTERS>
+<REUTERS LEWISSPLIT="TEST" NEWID="2"><TOPICS></TOPICS><TEXT><TITLE>only</TITLE></TEXT></REUTERS>
+<REUTERS LEWISSPLIT="TEST" NEWID="3"><TEXT><BODY>broken</TEXT></REUTERS>
+<REUTERS LEWISSPLIT="TEST" NEWID="10"><TOPICS><D>grain</D></TOPICS><TEXT><BODY>last one</BODY></TEXT></REUTERS>
+<REUTERS NEWID="11"><TEXT><BODY>cut off
+"""
+
+
+@pytest.fixture
+def files(tmp_path):
+    (tmp_path / "a.sgm").write_text(SGM)
+    (tmp_path / "b.sgm").write_text('<REUTERS NEWID="20"><TEXT><BODY>b</BODY></TEXT></REUTERS>')
+    return str(tmp_path / "*.sgm")
+
+
+def test_documents(spark, files):
+    found = {r.doc_id: r for r in records.documents(records.file_records(spark, files, "REUTERS")).collect()}
+    assert set(found) == {"1", "2", "10", "20"}
+    assert found["1"].body == "First body <b> & more\nsecond line."
+    assert found["1"].topics == ["cocoa", "coffee"]
+    assert (found["2"].body, found["2"].topics) == ("", [])
+    assert (found["10"].body, found["10"].topics) == ("last one", ["grain"])
+
+
+def test_test_split_and_rejects(spark, files):
+    found = records.file_records(spark, files, "REUTERS")
+    assert {r.doc_id for r in records.documents(found, test_only=True).collect()} == {"2", "10"}
+    assert records.rejected(found).first().rejected == 2
+
+
+def test_large_file_is_split(spark, tmp_path):
+    record = '<REUTERS NEWID="%d"><TEXT><BODY>body %d\n</BODY></TEXT></REUTERS>\n'
+    (tmp_path / "big.sgm").write_text("".join(record % (i, i) for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = records.file_records(spark, str(tmp_path / "big.sgm"), "REUTERS")
+        assert found.rdd.getNumPartitions() > 4
+        bodies = {r.doc_id: r.body for r in records.documents(found).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert bodies == {str(i): f"body {i}" for i in range(3000)}
+
+
+def test_column_records(spark):
+    pages = spark.createDataFrame([(1, "<ul><li a='x'>one\n</li><li>two</li></ul>"), (2, "none")], "id int, html string")
+    found = records.column_records(pages, "html", "li", "id").collect()
+    assert [tuple(r) for r in found] == [(1, "<li a='x'>one\n</li>"), (1, "<li>two</li>")]
+
+
+def test_edge_list(spark, tmp_path):
+    path = tmp_path / "web.txt"
+    path.write_text("# FromNodeId\tToNodeId\n1\t2\nno tab\n3\t4\n")
+    assert {tuple(r) for r in tables.edge_list(spark, str(path)).collect()} == {("1", "2"), ("3", "4")}
+    assert {tuple(r) for r in tables.edge_list(spark, str(path), "int").collect()} == {(1, 2), (3, 4)}
+
+
+def test_ratings_files(spark, tmp_path):
+    path = tmp_path / "ratings.dat"
+    path.write_text("1::1193::5::978300760\n1::661::3::978302109\n2::661::4::978298413\n")
+    loaded = tables.to_parquet(
+        tables.delimited(spark, str(path), tables.RATINGS_SCHEMA), str(tmp_path / "parquet")
+    )
+    assert [tuple(r) for r in rating_ops.top_rated(loaded).collect()] == [(1193, 5.0), (661, 3.5)]
+
+
+def test_headed_csv(spark, tmp_path):
+    path = tmp_path / "train.csv"
+    path.write_text("stock_id,wap\n1,0.5\n2,\n")
+    inferred = tables.headed_csv(spark, str(path))
+    assert inferred.dtypes == [("stock_id", "int"), ("wap", "double")]
+    assert [tuple(r) for r in tables.headed_csv(spark, str(path), "stock_id bigint, wap double").collect()] == [
+        (1, 0.5), (2, None)
+    ]
+
+
+def test_csv_sink(spark, tmp_path):
+    data = spark.range(10).orderBy(F.desc("id"))
+    one, four, bare = (str(tmp_path / n) for n in ("one", "four", "bare"))
+    sinks.write_csv(data, one, files=1)
+    sinks.write_csv(data, four, files=4)
+    sinks.write_csv(data, bare, header=False)
+    parts = list((tmp_path / "one").glob("part-*.csv"))
+    assert len(parts) == 1
+    assert parts[0].read_text().split() == ["id", *[str(i) for i in range(9, -1, -1)]]
+    assert len(list((tmp_path / "four").glob("part-*.csv"))) == 4
+    assert spark.read.csv(bare).count() == 10
+    sinks.write_csv(data.limit(1), one, files=1)
+    assert spark.read.csv(one, header=True).count() == 1
+
+
+def test_kept_computes_once(spark, tmp_path):
+    calls = []
+
+    def compute():
+        calls.append(1)
+        return spark.range(3)
+
+    path = str(tmp_path / "kept")
+    assert tables.kept(spark, path, compute).count() == 3
+    assert tables.kept(spark, path, compute).count() == 3
+    assert len(calls) == 1
+    # a run that broke off has no committed files
+    (tmp_path / "broken" / "_temporary").mkdir(parents=True)
+    assert tables.kept(spark, str(tmp_path / "broken"), compute).count() == 3
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    kept = cut_lineage(spark.range(5))
+    assert kept.count() == 5
+    assert folder in kept.inputFiles()[0]

@@ -1,0 +1,56 @@
+import pytest
+from pyspark.sql import functions as F
+
+from loomwork.streaming import replay
+
+
+def tables(spark):
+    test = spark.createDataFrame(
+        [(5, 1, 10.0), (5, 2, 20.0), (3, 3, 30.0), (9, 4, 40.0), (3, 5, 50.0)],
+        "time_id int, row_id int, x double",
+    )
+    extra = spark.createDataFrame([(1, 5), (2, 5), (3, 3), (4, 9), (5, 3)], "row_id int, time_id int")
+    return test, extra
+
+
+def test_groups_in_order_of_first_row(spark, tmp_path):
+    test, extra = tables(spark)
+    served = []
+
+    def score(rows, more):
+        served.append(sorted(r.row_id for r in rows.collect()))
+        return rows.join(more, ["time_id", "row_id"]).withColumn("y", F.col("x") * 2)
+
+    scored = replay.replay(
+        spark, {"test": test, "extra": extra}, "time_id", ["row_id"], score,
+        str(tmp_path / "in"), str(tmp_path / "out"),
+    )
+    assert served == [[1, 2], [3, 5], [4]]
+    found = {(r.batch, r.time_id, r.row_id, r.y) for r in scored.collect()}
+    assert found == {(0, 5, 1, 20.0), (0, 5, 2, 40.0), (1, 3, 3, 60.0), (1, 3, 5, 100.0), (2, 9, 4, 80.0)}
+
+
+def test_later_groups_continue_and_scores_equal_the_batch(spark, tmp_path):
+    test, extra = tables(spark)
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    replay.land(test, "time_id", f"{landing}/test")
+    replay.land(extra, "time_id", f"{landing}/extra")
+    columns = []
+
+    def score(rows, more):
+        columns.append(rows.columns)
+        return rows.join(more, "row_id").select("row_id", (F.col("x") + 1).alias("y"))
+
+    for group in (5, 3):
+        replay.mark_ready(spark, group, landing)
+        replay.score_groups(spark, landing, ["test", "extra"], "time_id", score, out, keep_group=False)
+    replay.mark_ready(spark, 9, landing)
+    replay.score_groups(spark, landing, ["test", "extra"], "time_id", score, out, keep_group=False)
+    assert columns == [["row_id", "x"]] * 3
+    found = {(r.row_id, r.y) for r in spark.read.parquet(out).collect()}
+    assert found == {(r.row_id, r.x + 1) for r in test.collect()}
+
+
+def test_one_table_is_not_enough(spark, tmp_path):
+    with pytest.raises(ValueError):
+        replay.score_groups(spark, str(tmp_path), ["test"], "time_id", lambda x: x, str(tmp_path / "o"))
