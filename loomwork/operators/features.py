@@ -91,15 +91,15 @@ def book_features(
     return (
         attach(
             weighted,
-            index.select("time_id", "indexwap"),
+            index,
             ["time_id"],
             spread,
             "left",
-            counts=index,
+            rows="_rows",
             salt_rows=salt_rows,
         )
         .withColumn("indexwapdiff", F.col("wap") - F.col("indexwap"))
-        .drop("imbalance_size_diff1", "bid_ask_spread_diff1")
+        .drop("imbalance_size_diff1", "bid_ask_spread_diff1", "_rows")
     )
 
 
@@ -187,6 +187,10 @@ def medians(
 
 def stock_features(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per stock: median, spread and range of its sizes and prices."""
+    return _stock_features(df, block_rows).drop("_rows")
+
+
+def _stock_features(df: DataFrame, block_rows: int) -> DataFrame:
     spreads = df.groupBy("stock_id").agg(
         (F.stddev_samp("bid_size") + F.stddev_samp("ask_size")).alias("global_std_size"),
         (F.max("bid_size") - F.min("bid_size")).alias("global_ptp_size"),
@@ -204,6 +208,7 @@ def stock_features(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         (F.col("median_bid_price") + F.col("median_ask_price")).alias("global_median_price"),
         "global_std_price",
         "global_ptp_price",
+        "_rows",
     )
 
 
@@ -212,8 +217,14 @@ def global_features(
 ) -> DataFrame:
     """``df`` with the features of its stock on each row."""
     return attach(
-        df, stock_features(df, block_rows), ["stock_id"], spread, "left", salt_rows=salt_rows
-    )
+        df,
+        _stock_features(df, block_rows),
+        ["stock_id"],
+        spread,
+        "left",
+        rows="_rows",
+        salt_rows=salt_rows,
+    ).drop("_rows")
 
 
 def time_features(df: DataFrame) -> DataFrame:

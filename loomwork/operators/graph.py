@@ -55,9 +55,9 @@ def _lists(
     totals = weighted.groupBy(node).agg(
         F.sum("edges").alias("_total"), F.count(F.lit(1)).alias("_rows")
     )
-    parts = totals.select(node, F.ceil(F.col("_total") / per_row).cast("int").alias("_parts"))
+    parts = totals.withColumn("_parts", F.ceil(F.col("_total") / per_row).cast("int"))
     with_parts = attach(
-        weighted, parts, [node], [neighbour], counts=totals, salt_rows=salt_rows
+        weighted, parts, [node], [neighbour], rows="_rows", salt_rows=salt_rows
     )
     # an edge repeated more often than a row holds goes to several rows as well
     pieces = with_parts.withColumn(
@@ -132,10 +132,14 @@ def _partitions(df: DataFrame) -> int:
 def _laid_out(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` kept by ``keys``, so that the joins of all rounds find it in place.
 
-    Blocks that are lost with an executor are computed again.
+    Blocks that are lost with an executor are computed again. The count fills the
+    cache: before that, adaptive execution has not settled the layout, and the first
+    rounds would be planned with another shuffle.
     """
     placed = df.repartition(_partitions(df), *keys).sortWithinPartitions(*keys)
-    return placed.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept
 
 
 def _by_end(weighted: DataFrame, end: str, other: str, hot: DataFrame) -> DataFrame:
@@ -158,7 +162,7 @@ def _sent(
     """Per node, the sum of what ``state`` sends along the edges."""
     spread = each_salt(
         state.select(F.col("id").alias(end), F.col(salts).alias("_salts"), value.alias("_value"))
-    ).drop("_salts")
+    )
     return (
         layout.join(spread, [end, SALT])
         .groupBy(F.col(to).alias("id"))

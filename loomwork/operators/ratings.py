@@ -63,9 +63,7 @@ def center(ratings: DataFrame, by: str, salt_rows: int = SALT_ROWS) -> DataFrame
     means = known.groupBy(axis).agg(
         F.avg("rating").alias("_mean"), F.count(F.lit(1)).alias("_rows")
     )
-    rows = attach(
-        known, means.select(axis, "_mean"), [axis], [other], counts=means, salt_rows=salt_rows
-    )
+    rows = attach(known, means, [axis], [other], rows="_rows", salt_rows=salt_rows)
     centered = F.coalesce(F.col("rating") - F.col("_mean"), F.lit(0.0))
     return rows.select("user_id", "item_id", centered.alias("centered"))
 
@@ -73,10 +71,9 @@ def center(ratings: DataFrame, by: str, salt_rows: int = SALT_ROWS) -> DataFrame
 def _similarity(ratings: DataFrame, by: str, target) -> DataFrame:
     axis, other = AXES[by]
     wanted = typed(ratings, axis, target)
-    # means are per axis key, so the target's rows can be centred on their own
-    mine = center(ratings.where(F.col(axis) == wanted), by).select(
-        other, F.col("centered").alias("_mine")
-    )
+    own = ratings.where(F.col(axis) == wanted).dropna(subset=[other])
+    mean = own.agg(F.avg("rating")).scalar()
+    mine = own.select(other, F.coalesce(F.col("rating") - mean, F.lit(0.0)).alias("_mine"))
     # a target that rated something twice meets each of its rows twice
     target_norm = (
         mine.groupBy(other)
@@ -106,15 +103,24 @@ def similar(ratings: DataFrame, by: str, target) -> DataFrame:
     return _ranked(_similarity(ratings, by, target), "similarity", AXES[by][0])
 
 
-def recommend_user_based(ratings: DataFrame, user, k: int = 10) -> DataFrame:
+def recommend_user_based(
+    ratings: DataFrame, user, k: int = 10, salt_rows: int = SALT_ROWS
+) -> DataFrame:
     """The ``k`` unseen items with the best deviation, weighted by user similarity.
 
     Similarities come from user-centred ratings and weigh item-centred ones.
     """
     sims = _similarity(ratings, "user", user)
+    per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
     scores = (
-        center(ratings, "item")
-        .join(sims, "user_id")
+        attach(
+            center(ratings, "item", salt_rows),
+            sims,
+            ["user_id"],
+            ["item_id"],
+            counts=per_user,
+            salt_rows=salt_rows,
+        )
         .groupBy("item_id")
         .agg(
             F.try_divide(
@@ -124,7 +130,7 @@ def recommend_user_based(ratings: DataFrame, user, k: int = 10) -> DataFrame:
     )
     seen = ratings.where(F.col("user_id") == typed(ratings, "user_id", user)).select("item_id")
     # after the aggregation an item is one row, so this join cannot be skewed
-    return _ranked(scores.join(seen.distinct(), "item_id", "left_anti"), "score", "item_id").limit(k)
+    return _ranked(scores.join(seen, "item_id", "left_anti"), "score", "item_id").limit(k)
 
 
 def recommend_item_based(ratings: DataFrame, user, k: int = 10) -> DataFrame:
@@ -136,7 +142,9 @@ def recommend_item_based(ratings: DataFrame, user, k: int = 10) -> DataFrame:
     cancels; only the seen items' norms are computed.
     """
     is_user = F.col("user_id") == typed(ratings, "user_id", user)
-    seen = ratings.where(is_user).select("item_id").distinct()
+    # not made distinct: the semi and anti joins need not, and AQE can split a hot
+    # item only where both sides come straight from a shuffle
+    seen = ratings.where(is_user).select("item_id")
     seen_ratings = center(ratings.join(seen, "item_id", "left_semi"), "item")
     unseen_ratings = center(ratings.join(seen, "item_id", "left_anti"), "item")
 

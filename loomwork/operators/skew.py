@@ -49,16 +49,14 @@ def salted(df: DataFrame, keys: list[str], hot: DataFrame, spread: list[str]) ->
 
 def repeated(table: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """``table`` with each hot key's rows once per salt."""
-    return each_salt(
-        table.join(F.broadcast(hot), keys, "left").withColumn(
-            "_salts", F.coalesce("_salts", F.lit(1))
-        )
-    ).drop("_salts")
+    salts = F.coalesce("_salts", F.lit(1))
+    return each_salt(table.join(F.broadcast(hot), keys, "left").withColumn("_salts", salts))
 
 
 def each_salt(table: DataFrame) -> DataFrame:
     """One row per salt, from a table with the column ``_salts``."""
-    return table.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    numbers = F.sequence(F.lit(0), F.col("_salts") - 1)
+    return table.withColumn(SALT, F.explode(numbers)).drop("_salts")
 
 
 def attach(
@@ -67,23 +65,28 @@ def attach(
     keys: list[str],
     spread: list[str],
     how: str = "inner",
+    rows: str | None = None,
     counts: DataFrame | None = None,
-    rows: str = "_rows",
     salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Join ``table`` to ``df`` on ``keys``, hot keys split over salts.
 
-    ``counts`` gives the rows of ``df`` per key where the caller has them anyway.
-    ``spread`` names columns of ``df`` that differ between rows of one key.
+    ``spread`` names columns of ``df`` that differ between rows of one key. The rows
+    of ``df`` per key are counted, unless ``counts`` has them in ``_rows``, or the
+    table itself in the column ``rows``. In the last case a key repeats by its own
+    count, without looking it up among the hot keys; copies that no salt asks for
+    match nothing.
     """
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))
-    hot = hot_keys(counts, keys, rows, salt_rows)
-    return (
-        salted(df, keys, hot, spread)
-        .join(repeated(table, keys, hot), [*keys, SALT], how)
-        .drop(SALT)
-    )
+    if rows is not None:
+        hot = hot_keys(table, keys, rows, salt_rows)
+        salts = F.greatest(F.ceil(F.col(rows) / salt_rows).cast("int"), F.lit(1))
+        copies = each_salt(table.withColumn("_salts", salts))
+    else:
+        if counts is None:
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = hot_keys(counts, keys, "_rows", salt_rows)
+        copies = repeated(table, keys, hot)
+    return salted(df, keys, hot, spread).join(copies, [*keys, SALT], how).drop(SALT)
 
 
 def typed(df: DataFrame, column: str, value) -> Column:

@@ -132,6 +132,13 @@ def item_based(rows, user):
     return scores
 
 
+def test_hot_keys_do_not_change_scores(spark, rows):
+    data = make(spark, rows)
+    plain = ops.recommend_user_based(data, 2, k=50).collect()
+    split = ops.recommend_user_based(data, 2, k=50, salt_rows=3).collect()
+    assert {r.item_id: pytest.approx(r.score) for r in plain} == {r.item_id: r.score for r in split}
+
+
 @pytest.mark.parametrize("operator, expected", [
     (ops.recommend_user_based, user_based),
     (ops.recommend_item_based, item_based),
