@@ -1,9 +1,8 @@
-"""Text columns: normalisation, word tokens, k-shingles and their hash values."""
+"""Text columns: normalisation, word tokens and their hash values."""
 
 from __future__ import annotations
 
 import random
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,21 +26,6 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: (w != "") & ~w.isin(STOP_WORDS))
 
 
-def shingles(words: Column, k: int) -> Column:
-    """Distinct runs of ``k`` neighbouring words; none when there are fewer words.
-
-    The runs are zipped from ``k`` shifted copies of the array. Slicing inside a
-    ``transform`` over positions looks simpler, but lets the optimizer move the
-    tokenising expression into the lambda and run it once per position.
-    """
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    runs = F.greatest(F.size(words) - (k - 1), F.lit(0))
-    shifted = [F.slice(words, F.lit(i + 1), runs) for i in range(k)]
-    joined = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat_ws(" ", x, y)), shifted)
-    return F.array_distinct(joined)
-
-
 def digests(values: Column) -> Column:
     """The md5 digests of an array of texts, 16 bytes each, as one binary value."""
     return F.unhex(F.array_join(F.transform(values, F.md5), ""))

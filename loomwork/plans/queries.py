@@ -143,6 +143,11 @@ def _links(spark, sf):
     return similarity.candidate_links(similarity.lsh_bands(_signatures(spark, sf)))
 
 
+def _pairs(spark, sf, **options):
+    # the links are read for small and for large buckets
+    return similarity.candidate_pairs(cut_lineage(_links(spark, sf)), **options)
+
+
 def shingles(spark, sf):
     joined = F.array_join(F.sort_array("shingles"), "|")
     return _shingled(spark, sf).select(
@@ -151,7 +156,7 @@ def shingles(spark, sf):
 
 
 def idf(spark, sf):
-    return rounded(similarity.idf(cut_lineage(_shingled(spark, sf))))
+    return rounded(similarity.idf(_shingled(spark, sf)))
 
 
 def set_representation(spark, sf):
@@ -177,15 +182,15 @@ def candidate_links(spark, sf):
 
 
 def candidate_pairs(spark, sf):
-    return similarity.candidate_pairs(_links(spark, sf))
+    return _pairs(spark, sf)
 
 
 def candidate_pairs_two_bands(spark, sf):
-    return similarity.candidate_pairs(_links(spark, sf), min_bands=2)
+    return _pairs(spark, sf, min_bands=2)
 
 
 def pair_metrics(spark, sf):
-    pairs = similarity.candidate_pairs(_links(spark, sf))
+    pairs = cut_lineage(_pairs(spark, sf))
     return rounded(similarity.pair_metrics(pairs, inputs.doc_topics(spark, sf)))
 
 
