@@ -10,7 +10,6 @@ from loomwork.operators.skew import (
     SALT,
     SALT_ROWS,
     attach,
-    each_salt,
     hot_keys,
     repeated,
     salted,
@@ -142,34 +141,25 @@ def _laid_out(df: DataFrame, *keys: str) -> DataFrame:
     return kept
 
 
-def _by_end(weighted: DataFrame, end: str, other: str, hot: DataFrame) -> DataFrame:
-    return _laid_out(salted(weighted, [end], hot, [other]), end, SALT)
+def _sent(layout: DataFrame, end: str, values: DataFrame, hot: DataFrame, to: str) -> DataFrame:
+    """What each node receives when ``values`` (``id, value``) go along the edges.
 
-
-def _node_table(edges: DataFrame, **hot: DataFrame) -> DataFrame:
-    """Nodes with the number of salts of each layout of the edges."""
-    table = nodes(edges)
-    for name, keys in hot.items():
-        salts = keys.select(F.col(keys.columns[0]).alias("id"), F.col("_salts").alias(name))
-        table = table.join(F.broadcast(salts), "id", "left")
-        table = table.withColumn(name, F.coalesce(name, F.lit(1)))
-    return _laid_out(table, "id")
-
-
-def _sent(
-    layout: DataFrame, end: str, state: DataFrame, salts: str, value: Column, to: str
-) -> DataFrame:
-    """Per node, the sum of what ``state`` sends along the edges."""
-    spread = each_salt(
-        state.select(F.col("id").alias(end), F.col(salts).alias("_salts"), value.alias("_value"))
-    )
+    Nodes that receive nothing have no row.
+    """
+    keyed = values.select(F.col("id").alias(end), "value")
     return (
-        layout.join(spread, [end, SALT])
+        layout.join(repeated(keyed, [end], hot), [end, SALT])
         .groupBy(F.col(to).alias("id"))
-        .agg(F.sum(F.col("weight") * F.col("_value")).alias("_sum"))
+        .agg(F.sum(F.col("weight") * F.col("value")).alias("value"))
     )
 
 
+def _everywhere(vertices: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """``vertices`` with the values as column ``name``, 0 where there is none."""
+    value = F.coalesce("value", F.lit(0.0)).alias(name)
+    return vertices.join(values, "id", "left").select(*vertices.columns, value)
+
+
 def pagerank(
     edges: DataFrame,
     damping: float = 0.85,
@@ -189,35 +179,28 @@ def pagerank(
     totals = weighted.groupBy("src").agg(
         F.sum("edges").alias("_total"), F.count(F.lit(1)).alias("_rows")
     )
-    hot = hot_keys(totals, ["src"], "_rows", salt_rows)
+    hot = cut_lineage(hot_keys(totals, ["src"], "_rows", salt_rows))
     shares = (
         salted(weighted, ["src"], hot, ["dst"])
         .join(repeated(totals.select("src", "_total"), ["src"], hot), ["src", SALT])
         .select("src", SALT, "dst", (F.col("edges") / F.col("_total")).alias("weight"))
     )
     by_src = _laid_out(shares, "src", SALT)
-    vertices = _node_table(weighted, salts=hot)
+    vertices = _laid_out(nodes(weighted), "id")
     size = vertices.count()
-    if size == 0:
-        return vertices.select("id", F.lit(0.0).alias("rank"))
 
-    base = (1.0 - damping) / size
-    state = vertices.withColumn("rank", F.lit(1.0 / size))
+    base = (1.0 - damping) / max(size, 1)
+    state = vertices.withColumn("value", F.lit(1.0 / max(size, 1)))
     for done in range(1, iters + 1):
-        received = _sent(by_src, "src", state, "salts", F.col("rank"), "dst")
-        rank = F.lit(base) + F.lit(damping) * F.coalesce("_sum", F.lit(0.0))
-        state = vertices.join(received, "id", "left").select("id", "salts", rank.alias("rank"))
+        received = _everywhere(vertices, _sent(by_src, "src", state, hot, "dst"), "_received")
+        state = received.select(
+            "id", (F.lit(base) + F.lit(damping) * F.col("_received")).alias("value")
+        )
         if done % ROUNDS_PER_CUT == 0 or done == iters:
             state = cut_lineage(state)
     for layout in (by_src, vertices):
         layout.unpersist()
-    return state.select("id", "rank")
-
-
-def _summed(table: DataFrame, sums: DataFrame, name: str) -> DataFrame:
-    """``table`` with what each node received, 0 where it received nothing."""
-    received = F.coalesce("_sum", F.lit(0.0)).alias(name)
-    return table.join(sums, "id", "left").select(*table.columns, received)
+    return state.withColumnRenamed("value", "rank")
 
 
 def _unit(df: DataFrame, value: str) -> Column:
@@ -234,28 +217,22 @@ def hits(edges: DataFrame, iters: int = 10, salt_rows: int = SALT_ROWS) -> DataF
     step or only before each lineage cut; in between they stay far from overflow.
     """
     weighted = cut_lineage(_weighted(edges).withColumnRenamed("edges", "weight"))
-    out_counts = weighted.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
-    in_counts = weighted.groupBy("dst").agg(F.count(F.lit(1)).alias("_rows"))
-    hot_src = hot_keys(out_counts, ["src"], "_rows", salt_rows)
-    hot_dst = hot_keys(in_counts, ["dst"], "_rows", salt_rows)
-    by_src = _by_end(weighted, "src", "dst", hot_src)
-    by_dst = _by_end(weighted, "dst", "src", hot_dst)
-    vertices = _node_table(weighted, out_salts=hot_src, in_salts=hot_dst)
-
-    state = hubs = vertices.withColumn("hub", F.lit(1.0)).withColumn("auth", F.lit(1.0))
+    hot, layouts = {}, {}
+    for end, other in (("src", "dst"), ("dst", "src")):
+        counts = weighted.groupBy(end).agg(F.count(F.lit(1)).alias("_rows"))
+        hot[end] = cut_lineage(hot_keys(counts, [end], "_rows", salt_rows))
+        layouts[end] = _laid_out(salted(weighted, [end], hot[end], [other]), end, SALT)
+    vertices = _laid_out(nodes(weighted), "id")
+
+    hub = vertices.withColumn("value", F.lit(1.0))
+    state = vertices.select("id", F.lit(1.0).alias("hub"), F.lit(1.0).alias("auth"))
     for done in range(1, iters + 1):
-        auths = _summed(
-            vertices, _sent(by_src, "src", hubs, "out_salts", F.col("hub"), "dst"), "auth"
-        )
-        sent = _sent(by_dst, "dst", auths, "in_salts", F.col("auth"), "src")
+        auth = _sent(layouts["src"], "src", hub, hot["src"], "dst")
+        hub = _sent(layouts["dst"], "dst", auth, hot["dst"], "src")
         if done % ROUNDS_PER_CUT == 0 or done == iters:
-            raw = cut_lineage(_summed(auths, sent, "hub"))
-            state = hubs = raw.select(
-                "id", "out_salts", "in_salts", _unit(raw, "hub"), _unit(raw, "auth")
-            )
-        else:
-            # the next round needs the hubs only, which keeps the plan one chain
-            hubs = _summed(vertices, sent, "hub")
-    for layout in (by_src, by_dst, vertices):
+            raw = cut_lineage(_everywhere(_everywhere(vertices, auth, "auth"), hub, "hub"))
+            state = raw.select("id", _unit(raw, "hub"), _unit(raw, "auth"))
+            hub = state.select("id", F.col("hub").alias("value"))
+    for layout in (*layouts.values(), vertices):
         layout.unpersist()
-    return state.select("id", "hub", "auth")
+    return state
