@@ -42,15 +42,14 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One edge per line item, from its part's node to its supplier's node.
+    """One edge per line item, from its order's node to its part's node.
 
-    Parts and suppliers share one numbering, so small ids have edges both ways.
-    Multiples of 7 have no out-edges, large ids have no in-edges, and edges repeat.
+    Orders and parts share one numbering, so small ids have edges both ways. Orders
+    without lines dangle where a part has their number, orders beyond the last part
+    have no in-edges, and an order with several lines of a part repeats its edge.
     """
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_partkey") % 7 != 0)
-        .select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst")
     )
 
 
@@ -64,18 +63,19 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its topics; every tenth has no source topic."""
-    source = table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("doc_id") % 10 != 0, F.col("source")).alias("source")
-    )
-    toxic = (
+    """Every document with its topics: its source if it is labelled, and whether toxic."""
+    labels = (
         table(spark, sf_dir, "labels")
-        .where("toxic = 1")
-        .select("doc_id", F.lit("toxic").alias("toxic"))
-        .distinct()
+        .groupBy("doc_id")
+        .agg(F.max(F.when(F.col("toxic") == 1, "toxic")).alias("toxic"), F.lit(True).alias("labelled"))
+    )
+    topics = F.array(F.when(F.col("labelled"), F.col("source")), F.col("toxic"))
+    return (
+        table(spark, sf_dir, "documents")
+        .select("doc_id", "source")
+        .join(labels, "doc_id", "left")
+        .select("doc_id", F.array_compact(topics).alias("topics"))
     )
-    both = F.array("source", "toxic")
-    return source.join(toxic, "doc_id", "left").select("doc_id", F.array_compact(both).alias("topics"))
 
 
 BOOK_ORDER = ["time_id", "k1", "k2", "k3"]

@@ -31,9 +31,9 @@ SELECT c_custkey AS user_id, c_mktsegment AS segment, c_nationkey AS nation,
             WHEN c_acctbal < 5000 THEN 'low' ELSE 'high' END AS balance_band
 FROM customer""",
     "items": "SELECT p_partkey AS item_id, concat(p_type, '|', p_brand) AS genres FROM part",
-    "edges": "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem WHERE l_partkey % 7 <> 0",
+    "edges": "SELECT l_orderkey AS src, l_partkey AS dst FROM lineitem",
     "doc_topics": """
-SELECT doc_id, source AS topic FROM documents WHERE doc_id % 10 <> 0
+SELECT doc_id, source AS topic FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
 UNION ALL
 SELECT DISTINCT doc_id, 'toxic' AS topic FROM labels WHERE toxic = 1""",
     "book": """
