@@ -75,12 +75,17 @@ def lower(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
-def spans(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+def sums_of(raw: np.ndarray) -> np.ndarray:
+    """Running sums from which ``spans`` hashes ranges."""
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(raw)), out=sums[1:])
+    return sums
+
+
+def spans(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of each of the byte ranges."""
-    n = len(raw)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
-    return mix((sums[stops] - sums[starts]) * powers(_INVERSE, n + 1)[starts])
+    sums = sums_of(raw) if sums is None else sums
+    return mix((sums[stops] - sums[starts]) * powers(_INVERSE, len(raw) + 1)[starts])
 
 
 @dataclass

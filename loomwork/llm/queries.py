@@ -12,6 +12,7 @@ from loomwork.llm import (
     quality,
     sharding,
     token_files,
+    toxicity,
 )
 from loomwork.llm.columns import spread
 from loomwork.plans.inputs import table
@@ -44,6 +45,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(spread(documents(spark, sf_dir)))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spread(documents(spark, sf_dir)), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op7_language_id": op7_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
