@@ -8,6 +8,7 @@ from loomwork.llm import (
     exact_dedup,
     language_id,
     mixing,
+    near_dedup,
     packing,
     quality,
     sharding,
@@ -41,6 +42,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spread(documents(spark, sf_dir)))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    how = near_dedup.Sketching(words=2, percent=80)
+    return near_dedup.near_components(spread(documents(spark, sf_dir)), how)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(spread(documents(spark, sf_dir)))
 
@@ -62,6 +68,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op5_near_dedup": op5_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
