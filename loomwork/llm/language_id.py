@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm import kernels
-from loomwork.llm.mapping import map_texts
+from loomwork.llm.mapping import filter_texts, map_texts
 from loomwork.llm.sampling import held_out, labelled_sample
 
 UNKNOWN = "und"
@@ -158,13 +158,8 @@ def train(texts: list[str], labels: list[str], how: Training = Training()) -> La
     return model
 
 
-def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """doc_id, lang_pred, score, rejected for every document; whole texts.
-
-    A null text, and one without any letter, is ``und`` with score 0 and rejected, as is
-    every text without a model. Other texts get the likeliest language; they are rejected
-    if its probability is under the model's limit.
-    """
+def prediction_kernel(model: LanguageModel | None):
+    """Language, score and whether the document is rejected, for each text."""
 
     def kernel(texts: pa.Array) -> list:
         n = len(texts)
@@ -181,8 +176,18 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         names = np.array(model.languages, dtype=object)[p.argmax(axis=1)]
         return [np.where(letters, names, UNKNOWN), score, ~letters | (score < model.reject)]
 
+    return kernel
+
+
+def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """doc_id, lang_pred, score, rejected for every document; whole texts.
+
+    A null text, and one without any letter, is ``und`` with score 0 and rejected, as is
+    every text without a model. Other texts get the likeliest language; they are rejected
+    if its probability is under the model's limit.
+    """
     fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
-    return map_texts(docs, kernel, fields, slice_bytes=1 << 20)
+    return map_texts(docs, prediction_kernel(model), fields, slice_bytes=1 << 20)
 
 
 def fit(docs: DataFrame, how: Training = Training()) -> LanguageModel | None:
@@ -204,3 +209,12 @@ def language_id(docs: DataFrame, how: Training = Training()) -> DataFrame:
     """
     model = fit(docs, how)
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def drop_rejected(docs: DataFrame, how: Training = Training()) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    Without any row to learn from, every document is rejected.
+    """
+    kernel = prediction_kernel(fit(docs, how))
+    return filter_texts(docs, lambda texts: ~kernel(texts)[2], slice_bytes=1 << 20)

@@ -37,3 +37,20 @@ def map_texts(
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
     return rows.mapInArrow(run, from_arrow_schema(schema))
+
+
+def filter_texts(docs: DataFrame, keep: Callable[[pa.Array], list], slice_bytes: int = SLICE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text the function keeps."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place)
+            parts = [
+                pa.array(keep(texts.slice(start, end - start)), pa.bool_())
+                for start, end in row_slices(texts, slice_bytes)
+            ]
+            if parts:
+                yield batch.filter(pa.concat_arrays(parts))
+
+    return docs.mapInArrow(run, docs.schema)

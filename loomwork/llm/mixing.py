@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.llm.columns import word_count
@@ -202,6 +202,12 @@ def mix(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
     )
 
 
-def copies_of(number: str = "copies") -> Column:
-    """To explode a row into so many."""
-    return F.sequence(F.lit(1), F.col(number))
+def draw(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
+    """The mix: rows of ``docs``, with all their columns, as often as they are taken.
+
+    Rows that repeat a doc_id are each drawn as often as the least drawn of them.
+    """
+    taken = mix(docs, how).groupBy("doc_id").agg(F.min("copies").alias("copies")).where("copies > 0")
+    taken = taken.select(F.col("doc_id").alias("__doc_id"), F.sequence(F.lit(1), "copies").alias("__copies"))
+    drawn = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__doc_id")))
+    return drawn.withColumn("__copy", F.explode("__copies")).select(*[F.col(f"`{c}`") for c in docs.columns])
