@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.functions.rowstats import add_row_statistics
-from loomwork.operators.ordered import BLOCK_ROWS, interpolate, lag_diff
-from loomwork.operators.skew import SALT_ROWS, attach, hot_keys
+from loomwork.operators.ordered import (
+    BLOCK,
+    POSITION,
+    interpolate,
+    lag_diff,
+    same_keys,
+    sorted_positions,
+)
+from loomwork.operators.skew import SALT_ROWS, attach
 
 # The columns that the row statistics cover, and the time up to
 # which near and far price count as 0.
@@ -48,7 +55,6 @@ def book_features(
     order_by: list[str],
     spread: list[str],
     salt_rows: int = SALT_ROWS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Price and size features, the weighted index per time step, and lag differences.
 
@@ -77,7 +83,7 @@ def book_features(
         }
     )
     moved = lag_diff(
-        basic, ["imbalance_size", "bid_ask_spread"], ["stock_id"], order_by, block_rows=block_rows
+        basic, ["imbalance_size", "bid_ask_spread"], ["stock_id"], order_by
     ).withColumns(
         {
             "imbalance_momentum": F.try_divide("imbalance_size_diff1", "matched_size"),
@@ -123,74 +129,51 @@ def weighted_index(df: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def medians(
-    df: DataFrame, key: str, columns: list[str], block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """The exact median of each column per key: ``median_<column>``.
+def medians(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The exact median of each column per key: ``median_<column>``; null keys are a key.
 
-    Spark's median holds all distinct values of a key in one place. That serves
-    all keys but the very large ones. For these, approximate quantiles just below
-    and above the middle bracket the median, values outside are only counted, and
-    the rank is looked up among the few values inside.
+    All values are sorted once by key, column and value, split by range. How many values
+    of a key each block holds tells where its middle ones lie, and only these are looked
+    up. So a key of any size is spread over as many tasks as it needs.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys(counts, [key], "_rows", block_rows).drop("_salts")
-    plain = (
-        df.join(F.broadcast(hot), key, "left_anti")
-        .groupBy(key)
-        .agg(*[F.median(c).alias(f"median_{c}") for c in columns])
-    )
-
     values = (
         df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
-        .join(F.broadcast(hot), key, "left_semi")
         .unpivot([key], columns, "_column", "_value")
         .where(F.col("_value").isNotNull())
     )
-    brackets = values.groupBy(key, "_column").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_value", [0.4999, 0.5001], 100_000).alias("_bracket"),
-    )
-    low, high = F.col("_bracket")[0], F.col("_bracket")[1]
-    # at most 1000 keys times the columns
-    runs = (
-        values.groupBy(key, "_column", "_value")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .join(F.broadcast(brackets), [key, "_column"])
-    )
-    below = runs.groupBy(key, "_column").agg(
-        F.coalesce(F.sum(F.when(F.col("_value") < low, F.col("_c"))), F.lit(0)).alias("_below")
+    rows = sorted_positions(values, [key, "_column", "_value"])
+    parts = rows.groupBy(key, "_column", BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(POSITION).alias("_start")
     )
-    upto = Window.partitionBy(key, "_column").orderBy("_value")
-    inside = (
-        runs.where((F.col("_value") >= low) & (F.col("_value") <= high))
-        .join(F.broadcast(below), [key, "_column"])
-        .withColumn("_rank", F.col("_below") + F.sum("_c").over(upto))
-    )
-
-    def at_rank(rank: Column) -> Column:
-        # the value whose run of equal values contains the rank
-        return F.min(F.when(F.col("_rank") >= rank, F.col("_value")))
-
-    middle = inside.groupBy(key, "_column").agg(
-        ((at_rank(F.expr("(_n + 1) div 2")) + at_rank(F.expr("_n div 2 + 1"))) / 2).alias("_median")
+    whole = Window.partitionBy(key, "_column")
+    before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = F.array(F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1"))
+    middle = (
+        parts.withColumn("_all", F.sum("_n").over(whole))
+        .withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_rank", F.explode(ranks))
+        .where((F.col("_rank") > F.col("_ahead")) & (F.col("_rank") <= F.col("_ahead") + F.col("_n")))
+        .select(
+            key, "_column", BLOCK, (F.col("_start") + F.col("_rank") - F.col("_ahead") - 1).alias(POSITION)
+        )
     )
-    wide = middle.groupBy(key).agg(
+    found = middle.join(rows.select(BLOCK, POSITION, "_value"), [BLOCK, POSITION])
+    wide = found.groupBy(key).agg(
         *[
-            F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"median_{c}")
+            F.avg(F.when(F.col("_column") == c, F.col("_value"))).alias(f"median_{c}")
             for c in columns
         ]
     )
-    # a large key without any value in these columns still has its row
-    return plain.unionByName(hot.join(wide, key, "left"))
+    # a key without any value in these columns still has its row
+    return same_keys(df.select(key).distinct(), wide, [key], "left")
 
 
-def stock_features(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def stock_features(df: DataFrame) -> DataFrame:
     """One row per stock: median, spread and range of its sizes and prices."""
-    return _stock_features(df, block_rows).drop("_rows")
+    return _stock_features(df).drop("_rows")
 
 
-def _stock_features(df: DataFrame, block_rows: int) -> DataFrame:
+def _stock_features(df: DataFrame) -> DataFrame:
     spreads = df.groupBy("stock_id").agg(
         (F.stddev_samp("bid_size") + F.stddev_samp("ask_size")).alias("global_std_size"),
         (F.max("bid_size") - F.min("bid_size")).alias("global_ptp_size"),
@@ -200,7 +183,7 @@ def _stock_features(df: DataFrame, block_rows: int) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"),
     )
     columns = ["bid_size", "ask_size", "bid_price", "ask_price"]
-    return spreads.join(medians(df, "stock_id", columns, block_rows), "stock_id").select(
+    return same_keys(spreads, medians(df, "stock_id", columns), ["stock_id"]).select(
         "stock_id",
         (F.col("median_bid_size") + F.col("median_ask_size")).alias("global_median_size"),
         "global_std_size",
@@ -212,13 +195,11 @@ def _stock_features(df: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def global_features(
-    df: DataFrame, spread: list[str], salt_rows: int = SALT_ROWS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def global_features(df: DataFrame, spread: list[str], salt_rows: int = SALT_ROWS) -> DataFrame:
     """``df`` with the features of its stock on each row."""
     return attach(
         df,
-        _stock_features(df, block_rows),
+        _stock_features(df),
         ["stock_id"],
         spread,
         "left",

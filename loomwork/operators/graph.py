@@ -15,12 +15,15 @@ from loomwork.operators.skew import (
     salted,
     typed,
 )
-from loomwork.shared import cut_lineage
+from loomwork.shared import cut_lineage, release
 
 # Neighbours in one row of the adjacency index.
 SEGMENT_NEIGHBOURS = 10_000
 # Rounds of an iteration planned as one job, between two lineage cuts.
 ROUNDS_PER_CUT = 2
+# Rows of a partition of the layouts that stay in place over all rounds.
+PARTITION_ROWS = 500_000
+MIN_PARTITIONS = 8
 
 
 def _complete(edges: DataFrame) -> DataFrame:
@@ -124,18 +127,18 @@ def nodes(edges: DataFrame) -> DataFrame:
     )
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _partitions(rows: int) -> int:
+    return max(MIN_PARTITIONS, -(-rows // PARTITION_ROWS))
 
 
-def _laid_out(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` kept by ``keys``, so that the joins of all rounds find it in place.
+def _laid_out(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, kept by ``keys``, so that all rounds find it in place.
 
     Blocks that are lost with an executor are computed again. The count fills the
     cache: before that, adaptive execution has not settled the layout, and the first
     rounds would be planned with another shuffle.
     """
-    placed = df.repartition(_partitions(df), *keys).sortWithinPartitions(*keys)
+    placed = df.repartition(_partitions(rows), *keys).sortWithinPartitions(*keys)
     kept = placed.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
     return kept
@@ -185,21 +188,25 @@ def pagerank(
         .join(repeated(totals.select("src", "_total"), ["src"], hot), ["src", SALT])
         .select("src", SALT, "dst", (F.col("edges") / F.col("_total")).alias("weight"))
     )
-    by_src = _laid_out(shares, "src", SALT)
-    vertices = _laid_out(nodes(weighted), "id")
+    pairs = weighted.count()
+    by_src = _laid_out(shares, pairs, "src", SALT)
+    vertices = _laid_out(nodes(weighted), pairs, "id")
     size = vertices.count()
 
     base = (1.0 - damping) / max(size, 1)
-    state = vertices.withColumn("value", F.lit(1.0 / max(size, 1)))
+    state, kept = vertices.withColumn("value", F.lit(1.0 / max(size, 1))), None
     for done in range(1, iters + 1):
         received = _everywhere(vertices, _sent(by_src, "src", state, hot, "dst"), "_received")
         state = received.select(
             "id", (F.lit(base) + F.lit(damping) * F.col("_received")).alias("value")
         )
         if done % ROUNDS_PER_CUT == 0 or done == iters:
-            state = cut_lineage(state)
+            state, before = cut_lineage(state), kept
+            kept = state
+            release(*[before] if before is not None else [])
     for layout in (by_src, vertices):
         layout.unpersist()
+    release(weighted, hot)
     return state.withColumnRenamed("value", "rank")
 
 
@@ -210,29 +217,37 @@ def _unit(df: DataFrame, value: str) -> Column:
 
 
 def hits(edges: DataFrame, iters: int = 10, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """Hub and authority scores after ``iters`` rounds: ``id, hub, auth``, unit L2 norm.
+    """Hub and authority scores after ``iters`` rounds: ``id, hub, auth``, unit L2 norm, best authorities first.
 
     The hub step uses the round's new authorities. Both steps are linear, so the
     vectors come out the same whether they are divided by their norms after each
     step or only before each lineage cut; in between they stay far from overflow.
     """
     weighted = cut_lineage(_weighted(edges).withColumnRenamed("edges", "weight"))
+    pairs = weighted.count()
     hot, layouts = {}, {}
     for end, other in (("src", "dst"), ("dst", "src")):
         counts = weighted.groupBy(end).agg(F.count(F.lit(1)).alias("_rows"))
         hot[end] = cut_lineage(hot_keys(counts, [end], "_rows", salt_rows))
-        layouts[end] = _laid_out(salted(weighted, [end], hot[end], [other]), end, SALT)
-    vertices = _laid_out(nodes(weighted), "id")
+        layouts[end] = _laid_out(salted(weighted, [end], hot[end], [other]), pairs, end, SALT)
+    vertices = _laid_out(nodes(weighted), pairs, "id")
 
     hub = vertices.withColumn("value", F.lit(1.0))
     state = vertices.select("id", F.lit(1.0).alias("hub"), F.lit(1.0).alias("auth"))
+    kept = None
     for done in range(1, iters + 1):
         auth = _sent(layouts["src"], "src", hub, hot["src"], "dst")
         hub = _sent(layouts["dst"], "dst", auth, hot["dst"], "src")
         if done % ROUNDS_PER_CUT == 0 or done == iters:
-            raw = cut_lineage(_everywhere(_everywhere(vertices, auth, "auth"), hub, "hub"))
+            # the hub step needs the authorities as well: written once, read by both
+            met = cut_lineage(auth)
+            hub = _sent(layouts["dst"], "dst", met, hot["dst"], "src")
+            raw = cut_lineage(_everywhere(_everywhere(vertices, met, "auth"), hub, "hub"))
+            release(met, *[kept] if kept is not None else [])
+            kept = raw
             state = raw.select("id", _unit(raw, "hub"), _unit(raw, "auth"))
             hub = state.select("id", F.col("hub").alias("value"))
     for layout in (*layouts.values(), vertices):
         layout.unpersist()
-    return state
+    release(weighted, *hot.values())
+    return state.orderBy(F.desc("auth"), "id")

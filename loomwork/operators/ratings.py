@@ -81,16 +81,32 @@ def _similarity(ratings: DataFrame, by: str, target) -> DataFrame:
         .agg(F.sqrt(F.sum("_square")).alias("_norm"))
         .scalar()
     )
+    # the co-rated rows are summed before they are centred, which the sums allow: a user
+    # or item then is one row in either side of the join with the means
+    others = ratings.where(F.col(axis) != wanted).select(axis, other, "rating")
+    rating, mean_of = F.col("rating"), F.col("_mean")
     sums = (
-        center(ratings.where(F.col(axis) != wanted), by)
+        others.where(rating.isNotNull())
         .join(mine, other)
         .groupBy(axis)
         .agg(
-            F.sqrt(F.sum(F.col("centered") * F.col("centered"))).alias("_norm"),
-            F.sum(F.col("centered") * F.col("_mine")).alias("_dot"),
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("rating").alias("_sum"),
+            F.sum(rating * rating).alias("_square"),
+            F.sum("_mine").alias("_theirs"),
+            F.sum(rating * F.col("_mine")).alias("_product"),
         )
     )
-    return sums.select(axis, F.try_divide("_dot", F.col("_norm") * target_norm).alias("similarity"))
+    rated = others.join(mine.select(other).distinct(), other, "left_semi").select(axis).distinct()
+    means = others.where(F.col(other).isNotNull()).groupBy(axis).agg(F.avg("rating").alias("_mean"))
+    square = F.col("_square") - 2 * mean_of * F.col("_sum") + F.col("_n") * mean_of * mean_of
+    dot = F.col("_product") - mean_of * F.col("_theirs")
+    norm = F.sqrt(F.greatest(square, F.lit(0.0)))
+    value = F.when(norm > 0, dot / norm / F.when(F.lit(target_norm) != 0, F.lit(target_norm)))
+    # who rated only nulls in common is listed, without a similarity
+    return (
+        rated.join(sums, axis, "left").join(means, axis, "left").select(axis, value.alias("similarity"))
+    )
 
 
 def similar(ratings: DataFrame, by: str, target) -> DataFrame:

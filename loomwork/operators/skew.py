@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# No more keys than this are treated as hot, which bounds what is broadcast. A
-# key outside the list holds under a thousandth of all rows, so one task can
-# take it.
-MAX_HOT_KEYS = 1000
+# A key with more than this share of all rows is hot, and there can be no more such
+# keys than its inverse, which bounds what is broadcast.
+HOT_SHARE = 1e-5
+# Salts of null keys, which match nothing but still travel in an outer join.
+NULL_SALTS = 1000
 # Rows of a hot key that go to one salt.
 SALT_ROWS = 1_000_000
 
@@ -23,13 +24,15 @@ SALT = "_salt"
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows: str, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """The keys with more than ``salt_rows`` rows, largest first, with their number of salts."""
-    return (
-        counts.where(F.col(rows) > salt_rows)
-        .orderBy(F.desc(rows), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col(rows) / salt_rows).cast("int").alias("_salts"))
-    )
+    """Every key with more than ``salt_rows`` rows and more than ``HOT_SHARE`` of all rows.
+
+    With its number of salts. A key that is not listed holds too few rows to matter to
+    the task that gets it.
+    """
+    total = counts.agg(F.sum(rows)).scalar()
+    return counts.where(
+        (F.col(rows) > salt_rows) & (F.col(rows) > total * HOT_SHARE)
+    ).select(*keys, F.ceil(F.col(rows) / salt_rows).cast("int").alias("_salts"))
 
 
 def salted(df: DataFrame, keys: list[str], hot: DataFrame, spread: list[str]) -> DataFrame:
@@ -40,7 +43,7 @@ def salted(df: DataFrame, keys: list[str], hot: DataFrame, spread: list[str]) ->
     spread_hash = F.xxhash64(*spread)
     any_null = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     salt = (
-        F.when(any_null, F.pmod(spread_hash, F.lit(MAX_HOT_KEYS)))
+        F.when(any_null, F.pmod(spread_hash, F.lit(NULL_SALTS)))
         .when(F.col("_salts").isNotNull(), F.pmod(spread_hash, F.col("_salts")))
         .otherwise(0)
     )
@@ -89,6 +92,40 @@ def attach(
     return salted(df, keys, hot, spread).join(copies, [*keys, SALT], how).drop(SALT)
 
 
+def pairs_within(
+    rows: DataFrame,
+    keys: list[str],
+    unit: str,
+    size: str,
+    block_rows: int,
+    carried: list[str] | None = None,
+) -> DataFrame:
+    """The keys, ``<unit>_1`` < ``<unit>_2`` and the carried columns of both, for every pair.
+
+    ``rows`` has the number of rows of each key in ``size``. A key of more than
+    ``block_rows`` rows is cut into blocks by a hash of the unit, and every pair of
+    blocks is a task's work of its own.
+    """
+    blocks = F.greatest(F.ceil(F.col(size) / block_rows).cast("int"), F.lit(1))
+    dealt = rows.select(
+        *keys, unit, *(carried or []), blocks.alias("_blocks"),
+        F.pmod(F.xxhash64(unit), blocks).cast("int").alias("_own"),
+    )
+    others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+
+    def side(number: int) -> DataFrame:
+        own, other = ("_i", "_j") if number == 1 else ("_j", "_i")
+        return dealt.select(
+            *keys,
+            *[F.col(c).alias(f"{c}_{number}") for c in [unit, *(carried or [])]],
+            F.col("_own").alias(own),
+            others.alias(other),
+        )
+
+    met = side(1).join(side(2), [*keys, "_i", "_j"])
+    return met.where(F.col(f"{unit}_1") < F.col(f"{unit}_2")).drop("_i", "_j")
+
+
 def typed(df: DataFrame, column: str, value) -> Column:
     """``value`` as a literal of the column's type; null when it is no such value."""
     return F.lit(value).try_cast(df.schema[column].dataType)

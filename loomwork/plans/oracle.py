@@ -7,7 +7,6 @@ partial results appear here. Fractions end in ``+ 0.0``, which turns -0.0 into 0
 from __future__ import annotations
 
 from loomwork.functions.text import PRIME, STOP_WORDS, hash_parameters
-from loomwork.operators.similarity import LISTED_BUCKET
 from loomwork.plans.queries import ITEM, NODE, USER
 
 ORDER = "time_id, k1, k2, k3"
@@ -92,13 +91,11 @@ SELECT * FROM (
   SELECT band, min(doc_id) OVER w AS head_id, doc_id, count(*) OVER w AS bucket_docs
   FROM bands WINDOW w AS (PARTITION BY band, bucket)) t
 WHERE bucket_docs > 1"""
-INPUTS["pairs"] = f"""
-SELECT doc_id_1, doc_id_2, CAST(count(*) AS INT) AS num_bands_matched
-FROM (SELECT a.doc_id AS doc_id_1, b.doc_id AS doc_id_2,
-             a.bucket_docs <= {LISTED_BUCKET} OR a.doc_id = a.head_id AS listed
-      FROM links a JOIN links b
-      ON a.band = b.band AND a.head_id = b.head_id AND a.doc_id < b.doc_id) t
-GROUP BY doc_id_1, doc_id_2 HAVING bool_or(listed)"""
+INPUTS["pairs"] = """
+SELECT a.doc_id AS doc_id_1, b.doc_id AS doc_id_2, CAST(count(*) AS INT) AS num_bands_matched
+FROM links a JOIN links b
+ON a.band = b.band AND a.head_id = b.head_id AND a.doc_id < b.doc_id
+GROUP BY 1, 2"""
 
 DEPENDS = {
     "centered_user": ["ratings"],
@@ -309,15 +306,19 @@ def _row_stats() -> str:
     )
 
 
-_FOLDS = """
+def _folds(source: str) -> str:
+    return f"""
 ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (ORDER BY time_id, stock_id, k1, k2, k3) - 1 AS n,
-         count(*) OVER () AS total FROM book),
+         count(*) OVER () AS total FROM {source}),
 folded AS MATERIALIZED (SELECT *, CAST(CASE
   WHEN n < total - 5 * (total // 6) THEN -1
   ELSE (n - (total - 5 * (total // 6))) // (total // 6) END AS INT) AS fold FROM ranked)"""
 
 
+_FOLDS = _folds("book")
+
+
 def _null_profile() -> str:
     each = [
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM book" for c in _BOOK_COLUMNS
@@ -537,10 +538,32 @@ FROM documents LEFT JOIN doc_topics USING (doc_id) WHERE lang = 'en' GROUP BY do
 FROM book GROUP BY 1, 2""",
             "book",
         ),
-        "group_scoring": sql(
-            f"""SELECT CAST(dense_rank() OVER (ORDER BY year) - 1 AS INT) AS batch, stock_id, rows, score FROM (
-  SELECT (date_id - 1) // 12 + 1990 AS year, stock_id, count(*) AS rows,
-         {r('avg(wap - reference_price)')} AS score FROM book GROUP BY 1, 2) t""",
+        "tagged_documents_all": sql(
+            r"""SELECT doc_id, md5(regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '')) AS body_md5,
+  coalesce(string_agg(topic, ',' ORDER BY topic), '') AS topics
+FROM documents LEFT JOIN doc_topics USING (doc_id) GROUP BY doc_id, text""",
+            "doc_topics",
+        ),
+        "headless_csv_scan": sql(f"SELECT {KEY}, {r('wap')} AS wap, 3::INT AS files FROM book", "book"),
+        "inferred_csv_scan": sql(
+            f"SELECT {KEY}, {r('ask_price')} AS ask_price, 'int,int,int,int,int,double' AS types FROM book", "book"
+        ),
+        "holdout_mae": sql(
+            "SELECT count(*) AS rows, true AS below_constant FROM book "
+            "WHERE ask_price IS NOT NULL AND date_id > 110",
+            "book",
+        ),
+        "fold_models": sql(
+            "SELECT fold, count(*) AS rows, true AS below_constant FROM folded WHERE fold >= 0 GROUP BY fold",
+            "book",
+            more="training AS MATERIALIZED (SELECT * FROM book WHERE ask_price IS NOT NULL AND date_id <= 110),"
+            + _folds("training"),
+        ),
+        # 11 columns of the book, 16 of its features, 6 of the stock, 3 of the time, 10 statistics
+        "feature_importance": "SELECT 46::BIGINT AS features, 1.0::DOUBLE AS importance, true AS agree",
+        "learning_curve": "SELECT true AS several, true AS falls, 1::BIGINT AS best",
+        "stream_scores": sql(
+            "SELECT date_id, count(*) AS rows FROM book WHERE ask_price IS NOT NULL AND date_id > 110 GROUP BY date_id",
             "book",
         ),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +13,14 @@ from loomwork.operators import features, graph, model, ordered, ratings, similar
 from loomwork.plans import inputs
 from loomwork.shared import cut_lineage, working_path
 from loomwork.sources import records, sinks, tables
-from loomwork.streaming import replay
+from loomwork.streaming import scoring
 
 USER, ITEM, NODE = 2, 2, 3
 SPREAD = ["k1", "k2", "k3"]
 TARGET = "target"
-FEATURES = [
-    "volume", "mid_price", "bid_ask_spread", "bid_ask_ratio", "liquidity_imbalance",
-    "market_urgency", "market_urgency_v2", "price_pressure", "depth_pressure",
-    "depth_pressure2", "indexwapdiff", "imbalance_momentum", "spread_intensity",
-    "day_of_week", "seconds", "minute",
-]
-TREES = {"maxIter": 3, "maxDepth": 4, "stepSize": 0.1}
+IDS = ["stock_id", "date_id", "time_id", *SPREAD]
+# small steps would take far longer here; validation ends the training
+TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.5, "subsamplingRate": 0.5}
 SPLIT = 110  # months; the days in these tables are calendar months
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,9 +140,14 @@ def _links(spark, sf):
     return similarity.candidate_links(similarity.lsh_bands(_signatures(spark, sf)))
 
 
+def _groups(spark, sf):
+    # read for the pairs of groups and for their members
+    return cut_lineage(similarity.signature_groups(_signatures(spark, sf)))
+
+
 def _pairs(spark, sf, **options):
-    # the links are read for small and for large buckets
-    return similarity.candidate_pairs(cut_lineage(_links(spark, sf)), **options)
+    groups = _groups(spark, sf)
+    return similarity.candidate_pairs(groups, similarity.group_pairs(groups, **options))
 
 
 def shingles(spark, sf):
@@ -190,8 +192,9 @@ def candidate_pairs_two_bands(spark, sf):
 
 
 def pair_metrics(spark, sf):
-    pairs = cut_lineage(_pairs(spark, sf))
-    return rounded(similarity.pair_metrics(pairs, inputs.doc_topics(spark, sf)))
+    groups = _groups(spark, sf)
+    pairs = similarity.group_pairs(groups)
+    return rounded(similarity.pair_metrics(groups, pairs, inputs.doc_topics(spark, sf)))
 
 
 # order book
@@ -319,7 +322,25 @@ def tagged_records(spark, sf):
     )
 
 
-def tagged_documents(spark, sf):
+def headless_csv_scan(spark, sf):
+    path = working_path(spark, "headless_csv")
+    columns = ["stock_id", *inputs.BOOK_ORDER, "wap"]
+    rows = inputs.book(spark, sf).select(*columns)
+    sinks.write_csv(rows, path, header=False, files=3)
+    read = spark.read.csv(path, schema=rows.schema)
+    files = F.size(F.lit(read.inputFiles()))
+    return rounded(read.withColumn("files", files))
+
+
+def inferred_csv_scan(spark, sf):
+    path = working_path(spark, "inferred_csv")
+    sinks.write_csv(inputs.book(spark, sf).select("stock_id", *inputs.BOOK_ORDER, "ask_price"), path)
+    read = tables.headed_csv(spark, path)
+    kinds = ",".join(kind for _, kind in read.dtypes)
+    return rounded(read.withColumn("types", F.lit(kinds)))
+
+
+def _tagged_documents(spark, sf, test_only):
     path = working_path(spark, "records_sgm")
 
     def text(column):
@@ -337,8 +358,9 @@ def tagged_documents(spark, sf):
             text(F.col("text")), F.lit("\n&#3;</BODY></TEXT>\n</REUTERS>"),
         )
     ).write.text(path)
+    # an absent file in the list is passed over
     found = records.documents(
-        records.file_records(spark, path, records.NEWS_TAG), test_only=True
+        records.file_records(spark, [path, f"{path}-absent"], records.NEWS_TAG), test_only=test_only
     )
     return found.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -347,6 +369,14 @@ def tagged_documents(spark, sf):
     )
 
 
+def tagged_documents(spark, sf):
+    return _tagged_documents(spark, sf, test_only=True)
+
+
+def tagged_documents_all(spark, sf):
+    return _tagged_documents(spark, sf, test_only=False)
+
+
 def kept_features(spark, sf):
     path = working_path(spark, "features")
     compute = lambda: features.time_features(inputs.book(spark, sf))
@@ -357,72 +387,116 @@ def kept_features(spark, sf):
 
 # model
 
+#: Where an application has its engineered rows and fitted models, by input folder.
+_MADE: dict[tuple, str] = {}
+
+
+def _made(spark, sf, name: str, make: Callable[[str], object]) -> str:
+    """The path of something that queries share; made by the first that needs it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MADE:
+        path = working_path(spark, name)
+        make(path)
+        _MADE[key] = path
+    return _MADE[key]
+
 
 def _model_rows(spark, sf):
-    rows = features.time_features(_book_features(spark, sf))
-    order = ["time_id", "stock_id", *SPREAD]
-    columns = ["stock_id", "date_id", *inputs.BOOK_ORDER, *FEATURES, TARGET]
-    return tables.to_parquet(rows.select(*columns), working_path(spark, "model_rows")), order
+    """The whole chain: clean, book, global and time features, row statistics."""
 
+    def make(path: str) -> None:
+        rows = features.book_features(
+            _clean(spark, sf), inputs.weights(spark, sf), inputs.BOOK_ORDER, SPREAD
+        )
+        rows = features.time_features(features.global_features(rows, SPREAD))
+        tables.to_parquet(features.row_stats(rows), path)
+
+    return spark.read.parquet(_made(spark, sf, "model_rows", make))
+
+
+def _folded(spark, sf):
+    rows = _model_rows(spark, sf).where(F.col("date_id") <= SPLIT)
+    return ordered.time_series_folds(rows, ["time_id", "stock_id", *SPREAD])
+
+
+def _columns(rows: DataFrame) -> list[str]:
+    return model.feature_columns(rows, *IDS, TARGET, "fold")
+
+
+def _fold_model(spark, sf, fold: int):
+    """The model of one fold, and its features; fitted once."""
+    folded = _folded(spark, sf)
+    columns = _columns(folded)
+
+    def make(path: str) -> None:
+        model.fit_fold(folded, columns, TARGET, fold, **TREES).save(path)
 
-def _fitted(spark, sf):
-    rows, order = _model_rows(spark, sf)
-    folded = ordered.time_series_folds(rows.where(F.col("date_id") <= SPLIT), order)
-    return rows, folded, model.fit_fold(folded, FEATURES, TARGET, 4, **TREES)
+    return model.load_model(_made(spark, sf, f"model_{fold}", make)), columns
+
+
+def _against_constant(predicted: DataFrame) -> DataFrame:
+    """Rows, and whether the error is below that of the best constant, the median."""
+    one = predicted.withColumn("_one", F.lit(1))
+    median = features.medians(one.select("_one", TARGET), "_one", [TARGET]).first()[f"median_{TARGET}"]
+    return one.agg(
+        F.count(TARGET).alias("rows"),
+        (
+            F.avg(F.abs(F.col(TARGET) - F.col("prediction"))) < F.avg(F.abs(F.col(TARGET) - median))
+        ).alias("below_constant"),
+    )
 
 
 def holdout_mae(spark, sf):
-    rows, _, fitted = _fitted(spark, sf)
-    return rounded(model.holdout_score(fitted, rows, FEATURES, TARGET, split_day=SPLIT))
+    fitted, columns = _fold_model(spark, sf, 4)
+    rows = _model_rows(spark, sf).where(F.col("date_id") > SPLIT)
+    return _against_constant(model.predict(fitted, rows, columns))
 
 
 def fold_models(spark, sf):
-    rows, order = _model_rows(spark, sf)
-    folded = ordered.time_series_folds(rows.where(F.col("date_id") <= SPLIT), order)
-    paths = model.fit_folds(folded, FEATURES, TARGET, working_path(spark, "models"), **TREES)
-    scores = None
-    for fold, path in enumerate(paths):
-        part = model.predict(model.load_model(path), folded.where(F.col("fold") == fold), FEATURES)
-        score = model.mean_absolute_error(part, TARGET).withColumn("fold", F.lit(fold))
-        scores = score if scores is None else scores.unionByName(score)
-    return rounded(scores)
+    folded = _folded(spark, sf)
+    scores = []
+    for fold in range(5):
+        fitted, columns = _fold_model(spark, sf, fold)
+        part = model.predict(fitted, folded.where(F.col("fold") == fold), columns)
+        scores.append(_against_constant(part).withColumn("fold", F.lit(fold)))
+    return reduce(DataFrame.unionByName, scores)
 
 
 def feature_importance(spark, sf):
-    rows, _, fitted = _fitted(spark, sf)
-    return rounded(model.feature_importance(fitted, rows, FEATURES))
+    fitted, columns = _fold_model(spark, sf, 4)
+    rows = _model_rows(spark, sf)
+    impurity = model.feature_importance(fitted, rows, columns, top=len(columns))
+    counts = model.split_counts(fitted, rows, columns)
+    return rounded(
+        impurity.join(counts, "feature").agg(
+            F.count("feature").alias("features"),
+            F.sum("importance").alias("importance"),
+            F.bool_and((F.col("importance") > 0) == (F.col("splits") > 0)).alias("agree"),
+        )
+    )
 
 
 def learning_curve(spark, sf):
-    _, folded, fitted = _fitted(spark, sf)
-    return rounded(model.learning_curve(fitted, folded, FEATURES, TARGET, 4))
-
-
-def group_scoring(spark, sf):
-    """Mean deviation of each stock's price from its reference, year by year."""
-    keys = ["stock_id", "k1", "k2", "k3"]
-    book = inputs.book(spark, sf).withColumn("year", F.expr("(date_id - 1) div 12 + 1990"))
-    prices = book.select("year", "time_id", *keys, "wap")
-    references = book.select("year", *keys, "reference_price")
-
-    def score(left, right):
-        return (
-            left.join(right, keys)
-            .groupBy("stock_id")
-            .agg(F.count(F.lit(1)).alias("rows"), F.avg(F.col("wap") - F.col("reference_price")).alias("score"))
-        )
+    fitted, columns = _fold_model(spark, sf, 4)
+    curve = model.learning_curve(fitted, _folded(spark, sf), columns, TARGET, 4)
+    first, last = F.min_by("training_mae", "iteration"), F.max_by("training_mae", "iteration")
+    return curve.agg(
+        (F.count("iteration") > 1).alias("several"),
+        (last < first).alias("falls"),
+        F.count_if("best").alias("best"),
+    )
+
 
-    scored = replay.replay(
-        spark,
-        {"prices": prices, "references": references},
-        "year",
-        ["time_id"],
-        score,
-        working_path(spark, "groups"),
-        working_path(spark, "scores"),
-        keep_group=False,
+def stream_scores(spark, sf):
+    """The hold-out rows as a stream of files, scored by the saved model."""
+    fitted, columns = _fold_model(spark, sf, 4)
+    source, sink = working_path(spark, "arrived"), working_path(spark, "scored")
+    rows = _model_rows(spark, sf).where(F.col("date_id") > SPLIT)
+    rows.repartition(3).write.parquet(source)
+    scored = scoring.score_new_rows(
+        spark, source, rows.schema, fitted, columns, sink, working_path(spark, "progress"), 1
     )
-    return rounded(scored.select(F.col("batch").cast("int").alias("batch"), "stock_id", "rows", "score"))
+    return scored.groupBy("date_id").agg(F.count("prediction").alias("rows"))
 
 
 QUERIES: dict[str, Query] = {
@@ -473,10 +547,13 @@ QUERIES: dict[str, Query] = {
     "headed_csv_scan": headed_csv_scan,
     "tagged_records": tagged_records,
     "tagged_documents": tagged_documents,
+    "tagged_documents_all": tagged_documents_all,
+    "headless_csv_scan": headless_csv_scan,
+    "inferred_csv_scan": inferred_csv_scan,
     "kept_features": kept_features,
     "holdout_mae": holdout_mae,
     "fold_models": fold_models,
     "feature_importance": feature_importance,
     "learning_curve": learning_curve,
-    "group_scoring": group_scoring,
+    "stream_scores": stream_scores,
 }

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TABLE = "table-"
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, folder or glob pattern finds anything, on any file system."""
+    found, system = _path(spark, path)
+    return bool(system.globStatus(found))
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, the
-    folder given to ``setCheckpointDir`` is used, and a local session falls back
-    to a new temporary folder. A cluster session without either is an error,
-    because the data would land on a disk that dies with its machine.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, the folder given
+    to ``setCheckpointDir`` is used, else a new one below ``hadoop.tmp.dir`` on the
+    session's default file system. If that is a local disk and the session is no local
+    one, it is an error, because the data would land on a disk that dies with its machine.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -23,9 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        conf = spark._jsc.hadoopConfiguration()
+        system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(conf)
+        if system.getScheme() == "file" and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomwork-"))
+        folder = f"{conf.get('hadoop.tmp.dir')}/loomwork-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(folder)).toString())
     return sc.getCheckpointDir()
 
 
@@ -36,6 +52,16 @@ def working_path(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there."""
-    path = working_path(df.sparkSession, "table")
+    path = working_path(df.sparkSession, TABLE.rstrip("-"))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``cut_lineage`` gave, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            if folder.rpartition("/")[2].startswith(TABLE):
+                found, system = _path(spark, folder)
+                system.delete(found, True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import strip
+from loomwork.shared import exists
 
 # The layout of a news record.
 NEWS_TAG = "REUTERS"
@@ -22,15 +23,20 @@ def file_records(spark: SparkSession, paths, tag: str) -> DataFrame:
     The closing tag serves as the line separator of the text source. A file of any
     size is then split over tasks, and no row holds more than one record. A last
     record that breaks off before its closing tag is closed here, and drops out
-    later unless it is otherwise complete. Missing and broken files are passed over.
+    later unless it is otherwise complete. Absent and broken files are passed over.
     """
     closing = f"</{tag}>"
-    pieces = (
-        spark.read.option("lineSep", closing)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .text(paths)
-    )
+    named = [paths] if isinstance(paths, str) else list(paths)
+    there = [path for path in named if exists(spark, path)]
+    if there:
+        pieces = (
+            spark.read.option("lineSep", closing)
+            .option("ignoreMissingFiles", True)
+            .option("ignoreCorruptFiles", True)
+            .text(there)
+        )
+    else:
+        pieces = spark.range(0).select(F.lit("").alias("value"))
     opened = F.regexp_extract("value", f"(?s)<{tag}[^>]*>.*", 0)
     return pieces.select(F.concat(opened, F.lit(closing)).alias("record"), opened.alias("_o")).where(
         F.col("_o") != ""

@@ -70,7 +70,6 @@ def test_book_features(spark, small):
         ["row"],
         ["row"],
         salt_rows=small,
-        block_rows=small,
     )
     # stock 4 has no weight
     df["stock_weight"] = df.stock_id.map(weights.set_index("stock_id").weight)
@@ -119,7 +118,7 @@ def test_global_features(spark, small):
         "std_price": g.bid_price.std() + g.ask_price.std(),
         "ptp_price": g.bid_price.max() - g.ask_price.min(),
     }
-    found = features.global_features(to_spark(spark, df), ["row"], salt_rows=small, block_rows=small)
+    found = features.global_features(to_spark(spark, df), ["row"], salt_rows=small)
     for name, values in expected.items():
         df[f"global_{name}"] = df.stock_id.map(values)
     same(found, df, [f"global_{n}" for n in expected])
@@ -134,7 +133,7 @@ def test_medians_of_large_keys(spark, n, kind):
     values = [pick() for _ in range(n)]
     rows = [(1, v, v * 2) for v in values] + [(1, None, None), (2, 1.0, None), (2, 2.0, None)]
     data = spark.createDataFrame(rows, "k int, a double, b double")
-    found = {r.k: (r.median_a, r.median_b) for r in features.medians(data, "k", ["a", "b"], block_rows=5).collect()}
+    found = {r.k: (r.median_a, r.median_b) for r in features.medians(data, "k", ["a", "b"]).collect()}
     middle = float(np.median(values))
     assert found == {1: (pytest.approx(middle), pytest.approx(middle * 2)), 2: (1.5, None)}
 

@@ -118,3 +118,20 @@ def test_hits(spark, edges, salt_rows):
     found = {r.id: (r.hub, r.auth) for r in graph.hits(make(spark, edges), salt_rows=salt_rows).collect()}
     assert {k: v[0] for k, v in found.items()} == pytest.approx(dict(zip(ids, hub)))
     assert {k: v[1] for k, v in found.items()} == pytest.approx(dict(zip(ids, auth)))
+
+
+def test_only_live_tables_stay(spark):
+    from loomwork.shared import _path, shared_folder
+
+    def tables():
+        found, system = _path(spark, shared_folder(spark))
+        return {f.getPath().getName() for f in system.listStatus(found)}
+
+    edges = spark.createDataFrame([(i, (i * 7 + 1) % 20) for i in range(40)], "src int, dst int")
+    shared_folder(spark)
+    for measure in (graph.pagerank, graph.hits):
+        before = tables()
+        result = measure(edges, iters=6)
+        assert len(tables() - before) == 1
+        assert result.count() == graph.nodes(edges).count()
+    assert [r.auth for r in result.collect()] == sorted((r.auth for r in result.collect()), reverse=True)

@@ -42,14 +42,14 @@ def test_from_record_files_to_pairs_and_metrics(spark, tmp_path):
         )
     docs = records.documents(records.file_records(spark, str(tmp_path / "*.sgm"), "REUTERS"))
     signatures = similarity.minhash(similarity.shingles(docs))
-    pairs = similarity.candidate_pairs(
-        similarity.candidate_links(similarity.lsh_bands(signatures))
-    )
+    groups = similarity.signature_groups(signatures)
+    among = similarity.group_pairs(groups)
+    pairs = similarity.candidate_pairs(groups, among)
     found = {(r.doc_id_1, r.doc_id_2): r.num_bands_matched for r in pairs.collect()}
     # ids are text, so "10" comes before "9"
     assert found["10", "9"] == 50
     assert set(found) == {("10", "9"), ("10", "11"), ("11", "9")}
-    metrics = similarity.pair_metrics(pairs, docs).first()
+    metrics = similarity.pair_metrics(groups, among, docs).first()
     assert (metrics.tp, metrics.fp, metrics.fn, metrics.tn) == (1, 2, 2, 1)
     out = str(tmp_path / "pairs")
     sinks.write_csv(pairs, out, files=1)

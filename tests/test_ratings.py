@@ -151,3 +151,13 @@ def test_recommendations(spark, rows, operator, expected, user):
     for r in found:
         assert r.score == (wanted[r.item_id] if wanted[r.item_id] is None else pytest.approx(wanted[r.item_id]))
     assert len(operator(make(spark, rows), user, k=2).collect()) == min(2, len(wanted))
+
+
+def test_more_hot_keys_than_a_fixed_list(spark):
+    from loomwork.operators.skew import attach, hot_keys
+
+    rows = spark.range(1500 * 4).selectExpr("id div 4 AS k", "id AS v")
+    counts = rows.groupBy("k").count()
+    assert hot_keys(counts, ["k"], "count", 3).count() == 1500
+    joined = attach(rows, counts, ["k"], ["v"], salt_rows=3)
+    assert joined.count() == 6000 and joined.where("count <> 4").count() == 0

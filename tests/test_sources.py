@@ -125,3 +125,11 @@ def test_shared_folder_is_the_configured_one(spark):
     kept = cut_lineage(spark.range(5))
     assert kept.count() == 5
     assert folder in kept.inputFiles()[0]
+
+
+def test_absent_files_are_passed_over(spark, tmp_path):
+    there = tmp_path / "a.sgm"
+    there.write_text('<REUTERS NEWID="1"><TEXT><BODY>x</BODY></TEXT></REUTERS>')
+    names = [str(there), str(tmp_path / "b.sgm")]
+    assert records.file_records(spark, names, "REUTERS").count() == 1
+    assert records.file_records(spark, names[1:], "REUTERS").count() == 0
