@@ -32,7 +32,7 @@ END_ID = 0
 #: A segment is closed by the first document with which it has so many ids.
 SEGMENT_IDS = 1 << 18
 #: Pieces whose ids a worker remembers.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 800_000
 #: Characters of new pieces that are encoded at once.
 ENCODED_AT_ONCE = 1 << 16
 
