@@ -25,7 +25,7 @@ from loomwork.llm.sampling import held_out, labelled_sample
 @dataclass(frozen=True)
 class Supervision:
     #: Labelled documents of each label, at most.
-    per_label: int = 5000
+    per_label: int = 2500
     #: Characters of a labelled document, from a seeded place.
     chars: int = 20_000
     #: Documents with label 1 in which a word or beginning must occur to be proposed.
@@ -85,15 +85,17 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.nd
     return out
 
 
-def _indicators(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of text and token: text, hash, and whether it is a beginning."""
     parts = []
-    for i, (hashes, text) in enumerate(tokens(raw, offsets)):
-        order = np.lexsort((hashes, text))
-        h, t = hashes[order], text[order]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-        parts.append((t[new], h[new], np.full(int(new.sum()), i > 0)))
+    for start, end in kernels.row_slices(texts, 1 << 20):
+        raw, offsets = kernels.text_bytes(texts.slice(start, end - start))
+        for i, (hashes, text) in enumerate(tokens(raw, offsets)):
+            order = np.lexsort((hashes, text))
+            h, t = hashes[order], text[order]
+            new = np.ones(len(h), dtype=bool)
+            new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+            parts.append(((t[new] + start).astype(np.int32), h[new], np.full(int(new.sum()), i > 0)))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -180,8 +182,7 @@ def train(texts: list[str], labels: list[int], how: Supervision = Supervision())
         return None
     own = first_of_copies(*kernels.text_bytes(pa.array(texts)))
     texts, y = [texts[i] for i in own], np.array(labels, dtype=np.int64)[own]
-    raw, offsets = kernels.text_bytes(pa.array(texts))
-    rows, hashes, beginning = _indicators(raw, offsets)
+    rows, hashes, beginning = _indicators(pa.array(texts))
     known, cols = np.unique(hashes, return_inverse=True)
     begins = np.zeros(len(known), dtype=bool)
     begins[cols] = beginning
