@@ -39,6 +39,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return out
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """With which differences of running sums become hashes that do not depend on the place."""
+    return powers(_INVERSE, n)
+
+
 def row_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text, one row at least."""
     lengths = pa.compute.binary_length(texts).fill_null(0)

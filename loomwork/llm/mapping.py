@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,29 @@ def map_texts(
     return rows.mapInArrow(run, from_arrow_schema(schema))
 
 
+def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key as a table, from batches that are sorted by whole-number keys."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        marks = [batch.column(c).to_numpy() for c in keys]
+        change = np.zeros(batch.num_rows, dtype=bool)
+        for m in marks:
+            change[1:] |= m[1:] != m[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            now = tuple(int(m[start]) for m in marks)
+            if now != key:
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, key = [], now
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def filter_texts(docs: DataFrame, keep: Callable[[pa.Array], list], slice_bytes: int = SLICE) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text the function keeps."""
     place = docs.columns.index("text")

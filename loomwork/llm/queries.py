@@ -12,6 +12,7 @@ from loomwork.llm import (
     packing,
     quality,
     sharding,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -47,6 +48,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(spread(documents(spark, sf_dir)), how)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(spread(documents(spark, sf_dir)))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(spread(documents(spark, sf_dir)))
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
