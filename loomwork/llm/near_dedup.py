@@ -8,13 +8,13 @@ likelihood of all registers, given both set sizes, rules out those far from the
 the full sets of words confirm the rest.
 
 What is wanted are the connected components of the links, so pairs that are already known
-to be connected need no comparison. Three rounds find them without listing a group's pairs:
+to be connected need no comparison. Two rounds find them without listing a group's pairs:
 
 1. Every document of a bucket is compared with the bucket's smallest doc_id.
-2. In buckets that still hold several components, every document is compared with its
-   likeliest partners of other components.
-3. In buckets that still hold several components, all pairs across components that the
-   likelihood does not rule out are compared. After that no candidate link is missing.
+2. In buckets that still hold several components, all pairs across components are compared
+   where their sketches and sets lie, each pair in the first bucket that it shares. Of the
+   links found only the best few of a document to each other component come out and are
+   confirmed. After that no candidate link between components is missing.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loomwork.llm import kernels
 from loomwork.llm.components import components
-from loomwork.llm.mapping import map_texts
+from loomwork.llm.mapping import key_runs, map_texts
 from loomwork.shared import cut_lineage
 
 
@@ -48,7 +48,7 @@ class Sketching:
     #: Log likelihood by which the threshold must fall behind to rule a pair out: at 18, one
     #: in a billion pairs at the threshold.
     margin: float = 18.0
-    #: Partners of a document in a bucket of round 2.
+    #: Links of a document to another component that a bucket of round 2 gives; one would do.
     partners: int = 2
     #: Documents of a bucket that one task compares with as many others.
     block: int = 1024
@@ -60,6 +60,8 @@ class Sketching:
 
 
 TOP = 65_535
+#: Pairs of sketches compared at a time.
+PAIRS_AT_ONCE = 8192
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +137,13 @@ def log_likelihood(
 def estimates(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, how: Sketching):
     """The likeliest similarity of each pair of sketches, and whether it may reach the threshold."""
     up, down = (a > b).sum(axis=-1), (a < b).sum(axis=-1)
-    return joint_estimates(up, down, a.shape[-1] - up - down, na, nb, how)
+    same, m = a.shape[-1] - up - down, a.shape[-1]
+    # so few equal registers that the likelihood is sure to rule the pair out
+    wanted = how.percent / 100
+    close = same >= m * wanted - 10 * np.sqrt(m * wanted * (1 - wanted))
+    best, may = np.zeros(len(same)), np.zeros(len(same), dtype=bool)
+    best[close], may[close] = joint_estimates(up[close], down[close], same[close], na[close], nb[close], how)
+    return best, may
 
 
 def joint_estimates(up, down, same, na, nb, how: Sketching):
@@ -231,12 +239,36 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, how: Sketching) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _cross_pairs(members: DataFrame, how: Sketching, partners: int | None) -> DataFrame:
-    """Likely pairs (a, b) across components within buckets.
+def _small_sets(docs: DataFrame, how: Sketching) -> DataFrame:
+    """doc_id, shingles: the set as ascending 32-bit hashes."""
+
+    def kernel(texts: pa.Array) -> list:
+        hashes, bounds = shingle_sets(texts, how.words)
+        low = (hashes >> np.uint64(32)).astype("<u4")
+        return [[np.unique(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]]
+
+    return map_texts(docs, kernel, [("shingles", pa.binary())], slice_bytes=1 << 19)
+
+
+def _common(x: np.ndarray, y: np.ndarray, values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The size of the intersection of sets x[i] and y[i], which lie in ``values`` from ``first``."""
+    sizes = np.diff(first)
+    both, pair = np.concatenate([x, y]), np.concatenate([np.arange(len(x))] * 2)
+    lengths = sizes[both]
+    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    keys = values[np.repeat(first[both], lengths) + within].astype(np.uint64)
+    keys |= np.repeat(pair, lengths).astype(np.uint64) << np.uint64(32)
+    keys.sort()
+    twice = keys[1:][keys[1:] == keys[:-1]]
+    return np.bincount((twice >> np.uint64(32)).astype(np.int64), minlength=len(x))
+
 
-    ``members`` has bucket, doc_id, component, n_shingles, sketch. A bucket of more than a
-    block is dealt over pairs of blocks, so that a task holds two blocks at a time. With
-    ``partners``, a document is paired with so many likeliest others only.
+def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
+    """Links (a, b) across components within buckets, by sets of hashes.
+
+    ``members`` has bucket, band, doc_id, component, n_shingles, sketch, shingles. A bucket
+    of more than a block is dealt over pairs of blocks, so that a task holds two blocks at
+    a time. A pair is compared in its first common band only.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / how.block).cast("int")
@@ -248,63 +280,75 @@ def _cross_pairs(members: DataFrame, how: Sketching, partners: int | None) -> Da
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         "own",
+        "band",
         "doc_id",
         "component",
         "n_shingles",
         "sketch",
+        "shingles",
     )
     keys = ["bucket", "i", "j"]
     ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compared(group: pa.Table) -> list[tuple[int, int]]:
-        order = np.argsort(group["own"].to_numpy(), kind="stable")
-        own = group["own"].to_numpy()[order]
-        ids, comp, n = (group[c].to_numpy()[order] for c in ("doc_id", "component", "n_shingles"))
-        raw = group["sketch"].to_pylist()
-        registers = np.frombuffer(b"".join(raw[i] for i in order), "<u2").reshape(len(order), -1)
-        split = own[0] != own[-1]  # two blocks: the first is compared with the second
-        half = int(np.searchsorted(own, own[-1]))
-        out = []
-        for x in range(half if split else len(ids)):
-            rest = np.arange(half if split else x + 1, len(ids))
-            small = np.minimum(n[rest], n[x])
-            rest = rest[(comp[rest] != comp[x]) & (100 * small >= how.percent * np.maximum(n[rest], n[x]))]
-            if len(rest) == 0:
-                continue
-            one = np.broadcast_to(registers[x], (len(rest), registers.shape[1]))
-            best, may = estimates(one, registers[rest], np.full(len(rest), n[x]), n[rest], how)
-            rest, best = rest[may], best[may]
-            if partners is not None:
-                rest = rest[np.argsort(-best, kind="stable")[:partners]]
-            out.extend((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))) for y in rest)
-        return out
+    def opposite(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of a group and, for each, the later rows that it has to be compared with."""
+        own = group["own"].to_numpy()
+        comp, n = group["component"].to_numpy(), group["n_shingles"].to_numpy()
+        split = own.min() != own.max()  # two blocks: the first is compared with the second
+        for x in np.flatnonzero(own == own.min()) if split else range(len(own) - 1):
+            rest = np.flatnonzero(own != own[x]) if split else np.arange(x + 1, len(own))
+            large = np.maximum(n[rest], n[x])
+            rest = rest[(comp[rest] != comp[x]) & (100 * np.minimum(n[rest], n[x]) >= how.percent * large)]
+            if len(rest):
+                yield np.full(len(rest), x), rest
+
+    def judged(table: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        registers = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(table.num_rows, -1)
+        raw = table["shingles"].to_pylist()
+        values = np.frombuffer(b"".join(raw), "<u4")
+        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // 4)])
+        ids, comp, n, band = (table[c].to_numpy() for c in ("doc_id", "component", "n_shingles", "band"))
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        for at in range(0, len(x), PAIRS_AT_ONCE):
+            i, j = x[at : at + PAIRS_AT_ONCE], y[at : at + PAIRS_AT_ONCE]
+            equal = (registers[i] == registers[j]).reshape(len(i), how.bands, how.rows).all(axis=2)
+            here = equal.argmax(axis=1) == band[i]
+            i, j = i[here], j[here]
+            may = estimates(registers[i], registers[j], n[i], n[j], how)[1]
+            i, j = i[may], j[may]
+            both = _common(i, j, values, first)
+            # one more, should two shingles of a set share a hash
+            link = 100 * (both + 1) >= how.percent * (n[i] + n[j] - both - 1)
+            found.append((i[link], j[link], (both / (n[i] + n[j] - both))[link]))
+        x, y, similar = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((-similar, comp[y], x))
+        x, y = x[order], y[order]
+        target = np.unique(np.stack([x, comp[y]], axis=1), axis=0, return_inverse=True)[1].ravel()
+        best = np.arange(len(x)) - np.searchsorted(target, target) < how.partners
+        low, high = np.minimum(ids[x], ids[y])[best], np.maximum(ids[x], ids[y])[best]
+        return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
+        held, parts, rows, pairs = [], [], 0, 0
 
-        def flush():
-            found = compared(pa.Table.from_batches(held)) if held else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
-                schema=schema,
-            )
+        def flush() -> pa.RecordBatch:
+            x, y = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, int),) * 2
+            return judged(pa.concat_tables(held), x, y)
 
-        for batch in batches:
-            if batch.num_rows == 0:
+        for group in key_runs(batches, keys):
+            if group.num_rows < 2:
                 continue
-            marks = [batch.column(c).to_numpy() for c in keys]
-            change = np.zeros(batch.num_rows, dtype=bool)
-            for m in marks:
-                change[1:] |= m[1:] != m[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:]):
-                now = tuple(int(m[start]) for m in marks)
-                if now != key:
-                    yield flush()
-                    held, key = [], now
-                held.append(batch.slice(start, end - start))
-        yield flush()
+            held.append(group)
+            for x, y in opposite(group):
+                parts.append((x + rows, y + rows))
+                pairs += len(x)
+            rows += group.num_rows
+            if pairs >= PAIRS_AT_ONCE or rows >= PAIRS_AT_ONCE:
+                yield flush()
+                held, parts, rows, pairs = [], [], 0, 0
+        if held:
+            yield flush()
 
     return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -332,9 +376,11 @@ def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
     )
     width = 2 * how.rows
     keys = [F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(how.bands)]
-    banded = sets.select("doc_id", F.explode(F.array(*keys)).alias("bucket"))
+    banded = sets.select("doc_id", F.posexplode(F.array(*keys)).alias("band", "bucket"))
     heads = banded.groupBy("bucket").agg(F.min("doc_id").alias("head"), F.count("*").alias("n"))
-    members = cut_lineage(banded.join(heads.where("n > 1"), "bucket").select("bucket", "doc_id", "head"))
+    members = cut_lineage(
+        banded.join(heads.where("n > 1"), "bucket").select("bucket", "band", "doc_id", "head")
+    )
     texts = cut_lineage(
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
         .join(members.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -343,19 +389,21 @@ def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
     pairs = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
     links = cut_lineage(_confirmed(_likely(pairs.distinct(), sets, how), texts, how))
     found = components(links)
-    for partners in (how.partners, None):
-        labelled = members.join(found, "doc_id", "left").select(
-            "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
-        )
-        mixed = labelled.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most")
-        )
-        several = labelled.join(mixed.where("least <> most").select("bucket"), "bucket")
-        pairs = _cross_pairs(several.join(sets, "doc_id"), how, partners)
-        fresh = cut_lineage(_confirmed(pairs, texts, how))
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            found = components(links)
+    labelled = members.join(found, "doc_id", "left").select(
+        "bucket", "band", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
+    )
+    spans = labelled.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    several = cut_lineage(labelled.join(spans.where("least <> most").select("bucket"), "bucket"))
+    small = _small_sets(
+        texts.join(several.select("doc_id").distinct(), "doc_id", "left_semi"), how
+    )
+    crossing = cut_lineage(_cross_links(several.join(sets.join(small, "doc_id"), "doc_id"), how))
+    if not crossing.isEmpty():
+        fresh = cut_lineage(_confirmed(crossing, texts, how))
+        stars = found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+        found = components(stars.unionByName(fresh))
     named = classes.join(found, "doc_id", "left").select(
         "digest", F.coalesce("component_id", "doc_id").alias("component_id")
     )
