@@ -20,3 +20,11 @@ def spread(docs: DataFrame, by: str = "doc_id") -> DataFrame:
     if docs.rdd.getNumPartitions() < cores:
         return docs.repartition(cores, by)
     return docs
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.columns import unused
 from loomwork.shared import cut_lineage
 
 SALTS = 16
@@ -81,8 +82,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Rows that share a doc_id and their text leave one row.
     """
-    keep = combined(docs).select(F.col("keep_id").alias("doc_id"), "digest")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("__digest", sha256(text))
-    on = keyed["doc_id"].eqNullSafe(keep["doc_id"]) & (keyed["__digest"] == keep["digest"])
-    return keyed.join(keep, on, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    name = unused(docs, "_digest")
+    keep = combined(docs).select(F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_kept"))
+    keyed = docs.withColumn(name, sha256(F.coalesce(F.col("text"), F.lit(""))))
+    on = keyed["doc_id"].eqNullSafe(keep["_keep_id"]) & (keyed[name] == keep["_kept"])
+    return keyed.join(keep, on, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

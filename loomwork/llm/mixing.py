@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.llm.columns import word_count
+from loomwork.llm.columns import unused, word_count
 from loomwork.shared import cut_lineage
 
 
@@ -207,7 +207,8 @@ def draw(docs: DataFrame, how: Mixture = Mixture()) -> DataFrame:
 
     Rows that repeat a doc_id are each drawn as often as the least drawn of them.
     """
-    taken = mix(docs, how).groupBy("doc_id").agg(F.min("copies").alias("copies")).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("__doc_id"), F.sequence(F.lit(1), "copies").alias("__copies"))
-    drawn = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__doc_id")))
-    return drawn.withColumn("__copy", F.explode("__copies")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    doc_id, copies, copy = (unused(docs, c) for c in ("_doc_id", "_copies", "_copy"))
+    taken = mix(docs, how).groupBy("doc_id").agg(F.min("copies").alias("n")).where("n > 0")
+    taken = taken.select(F.col("doc_id").alias(doc_id), F.sequence(F.lit(1), "n").alias(copies))
+    drawn = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(doc_id)))
+    return drawn.withColumn(copy, F.explode(copies)).select(*[F.col(f"`{c}`") for c in docs.columns])
