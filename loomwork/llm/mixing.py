@@ -34,11 +34,16 @@ class Mixture:
     seed: int = 42
 
 
+#: Longest documents that the knapsack's budget has room for.
+RESERVED = 4
+
+
 def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int) -> np.ndarray:
     """How many documents of each length to take, so that their sum comes to ``budget``.
 
     The result is at most ``budget`` and at most ``counts``. Most is taken in proportion to
-    the counts; the last ``window`` tokens are a bounded knapsack by dynamic programming.
+    the counts; what is left, a few times the longest document but at most ``window``
+    tokens, is a bounded knapsack by dynamic programming.
     """
     taken = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -46,14 +51,11 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int) ->
         return taken
     if budget >= total:
         return np.where(lengths > 0, counts, 0).astype(np.int64)
-    exact = counts * (budget / total)
+    reserve = min(window, RESERVED * int(lengths.max()), budget)
+    exact = counts * ((budget - reserve) / total)
     taken = np.minimum(np.floor(exact), counts).astype(np.int64)
     taken[lengths <= 0] = 0
     left = budget - int((lengths * taken).sum())
-    while left < 0:  # only by rounding of very large counts
-        i = int(np.argmax(taken * (lengths > 0)))
-        taken[i] -= 1
-        left += int(lengths[i])
     for i in np.lexsort((-lengths, taken - exact)):  # the largest remainder first
         if left <= window:
             break
@@ -68,7 +70,8 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int) ->
     items, first = [], np.full(top + 1, -1, dtype=np.int64)
     reached = np.zeros(top + 1, dtype=bool)
     reached[0] = True
-    for i in range(len(lengths)):
+    # a fixed order without regard to length, so that the knapsack favours none
+    for i in np.random.default_rng(0).permutation(len(lengths)):
         size, spare = int(lengths[i]), int(counts[i] - taken[i])
         spare = min(spare, top // size) if size > 0 else 0
         part = 1
