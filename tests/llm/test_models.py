@@ -78,7 +78,8 @@ def test_label_model_finds_rates_without_labels_of_most_rows():
     noisy = np.where(rng.random(3000) < 0.2, ~truth, truth)
     post, rates, weight = toxicity.label_model(votes, np.array([1, 1, 1, 1, 0]), noisy)
     assert np.mean((post > 0.5) == truth) > 0.85
-    assert weight[0] < 0.7 and weight[1] > 0.8  # the copied voter counts half
+    # the copied voter counts for less than one that stands alone
+    assert weight[0] < 0.5 and weight[0] < weight[1] - 0.1
 
 
 @pytest.fixture(scope="module")
