@@ -82,8 +82,16 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Rows that share a doc_id and their text leave one row.
     """
-    name = unused(docs, "_digest")
-    keep = combined(docs).select(F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_kept"))
-    keyed = docs.withColumn(name, sha256(F.coalesce(F.col("text"), F.lit(""))))
-    on = keyed["doc_id"].eqNullSafe(keep["_keep_id"]) & (keyed[name] == keep["_kept"])
-    return keyed.join(keep, on, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    name, key = unused(docs, "_digest"), unused(docs, "_key")
+
+    def as_key(doc_id: str) -> Column:
+        # never null, so that the join and what follows share one partitioning
+        return F.coalesce(F.col(doc_id).cast("string"), F.lit("none"))
+
+    keep = combined(docs).select(as_key("keep_id").alias(key), F.col("digest").alias(name))
+    keyed = docs.withColumn(key, as_key("doc_id")).withColumn(
+        name, sha256(F.coalesce(F.col("text"), F.lit("")))
+    )
+    return keyed.join(keep, [key, name], "left_semi").dropDuplicates([key, name]).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )
