@@ -36,7 +36,7 @@ def suffix_array(t: np.ndarray, enough: int) -> np.ndarray:
     bits = max(1, int(s.max()).bit_length())
     if 3 * bits <= 63:
         triple = (s[sample] << (2 * bits)) | (s[sample + 1] << bits) | s[sample + 2]
-        order = np.argsort(triple, kind="stable")
+        order = np.argsort(triple)
         named = triple[order]
         fresh = np.concatenate([[True], named[1:] != named[:-1]])
     else:
@@ -62,7 +62,7 @@ def suffix_array(t: np.ndarray, enough: int) -> np.ndarray:
     size = np.int64(len(sample) + 2)
     rest = np.arange(0, n, 3)
     by_one = s[rest] * size + rank[rest + 1]
-    rest = rest[np.argsort(by_one, kind="stable")]
+    rest = rest[np.argsort(by_one)]
 
     # merge: a remaining suffix and one of either class compare by symbols and the sampled rank behind
     first = sorted_sample[sorted_sample % 3 == 1]

@@ -42,8 +42,8 @@ class Passages:
     hot: int = 100_000
     #: A hot hash also has at least this share of all entries, so their list is bounded.
     hot_share: float = 1e-6
-    #: Bytes of text that a suffix array covers.
-    sorted_bytes: int = 1 << 20
+    #: Bytes of text that a suffix array covers, or one hash with more; small ones stay in the cache.
+    sorted_bytes: int = 1 << 17
 
 
 _LOW = np.uint64(0xFFFFFFFF)
