@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +67,16 @@ def release(*tables: DataFrame) -> None:
             if folder.rpartition("/")[2].startswith(TABLE):
                 found, system = _path(spark, folder)
                 system.delete(found, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles removed that no live DataFrame needs.
+
+    Spark removes them once the driver's garbage collector finds them unused, which
+    otherwise happens when the driver's memory runs short. Python lets go of its
+    references first; Py4J passes that on in a thread of its own.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark._jvm.System.gc()
