@@ -14,7 +14,6 @@ least hash, so a string that starts in two documents keeps both.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from loomwork.llm import kernels
 from loomwork.llm.mapping import key_runs
 from loomwork.llm.suffix_array import suffix_array
-from loomwork.shared import cut_lineage
+from loomwork.shared import cut_lineage, free_shuffles, release
 
 
 @dataclass(frozen=True)
@@ -277,13 +276,26 @@ def _pieces(asked: DataFrame, how: Passages, shards: int, hot: np.ndarray) -> Da
                     equal = data[a[x] : b[x]] == data[a[owner] : b[owner]]
                     shipped[at] = not (equal and ids[x] > ids[owner])
                 local = offsets[text[heads]]
-                pieces = [
-                    data[a[x] : b[x]] if keep else None for x, keep in zip(order.tolist(), shipped.tolist())
-                ]
+                sent, done = order[shipped], np.sort(order[~shipped])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key[order]), pa.array(ids[order]), pa.array((a - local)[order]),
-                        pa.array((b - local)[order]), pa.array(pieces, pa.binary()),
+                        pa.array(key[sent]), pa.array(ids[sent]), pa.array((a - local)[sent]),
+                        pa.array((b - local)[sent]), pa.array([data[a[x] : b[x]] for x in sent], pa.binary()),
+                    ],
+                    schema=_PIECES,
+                )
+                if len(done) == 0:
+                    continue
+                # covered pieces in a row are one stretch; a text's pieces ascend in both ends
+                apart = np.ones(len(done), dtype=bool)
+                apart[1:] = (a[done][1:] > b[done][:-1]) | (local[done][1:] != local[done][:-1])
+                first_of = np.flatnonzero(apart)
+                last_of = np.concatenate([first_of[1:], [len(done)]]) - 1
+                head = done[first_of]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key[head]), pa.array(ids[head]), pa.array((a - local)[head]),
+                        pa.array((b - local)[done[last_of]]), pa.nulls(len(head), pa.binary()),
                     ],
                     schema=_PIECES,
                 )
@@ -409,7 +421,9 @@ def stretches(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
         .agg(F.collect_set("key").alias("keys"))
     )
     asked = rows.join(per_doc, "doc_id").select("doc_id", "text", "keys")
-    return cut_lineage(_stretches(_pieces(asked, how, shards, hot_keys), how, 2 * tasks))
+    found = cut_lineage(_stretches(_pieces(asked, how, shards, hot_keys), how, 2 * tasks))
+    release(answers)
+    return found
 
 
 def suffix_dedup(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
@@ -422,10 +436,7 @@ def suffix_dedup(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
     loses; a null doc_id loses nothing. An empty table gives an empty result.
     """
     gone = stretches(docs, how)
-    # what the steps so far have shuffled is no longer needed; the driver's garbage
-    # collection lets go of it, and the executors remove the files
-    gc.collect()
-    docs.sparkSession._jvm.System.gc()
+    free_shuffles(docs.sparkSession)
     per_doc = gone.groupBy(F.col("doc_id").alias("__doc_id")).agg(
         F.collect_set(F.struct("start", "stop")).alias("gone")
     )
