@@ -58,7 +58,7 @@ def row_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts (null: none), and the n + 1 offsets of the texts in them."""
-    texts = pa.compute.fill_null(texts, "")
+    texts = pa.compute.fill_null(texts, b"" if pa.types.is_large_binary(texts.type) else "")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)

@@ -303,24 +303,24 @@ def _pieces(asked: DataFrame, how: Passages, shards: int, hot: np.ndarray) -> Da
     return asked.mapInArrow(run, PIECES)
 
 
-def covered(ids: np.ndarray, starts: np.ndarray, pieces: list[bytes], how: Passages):
+def covered(ids: np.ndarray, starts: np.ndarray, data: np.ndarray, sizes: np.ndarray, how: Passages):
     """Stretches of the pieces whose strings also start in a piece of a smaller doc_id.
 
-    Gives the numbers of the pieces, and where in the document the stretches begin and end.
+    ``data`` has the pieces' bytes one after the other. Gives the numbers of the pieces,
+    and where in the document the stretches begin and end.
     """
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     # a zero ends each piece; bytes count from 1
-    text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
+    text = np.zeros(len(data) + len(sizes), dtype=np.uint8)
+    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data
     ends = np.cumsum(sizes + 1) - 1
-    symbols = text.astype(np.int64) + 1
-    symbols[ends] = 0
-    symbols += 1
+    symbols = text.astype(np.int64) + 2
+    symbols[ends] = 1
     order = suffix_array(symbols, how.length)
     piece = np.searchsorted(ends, order)
     whole = order + how.length <= ends[piece]
     order, piece = order[whole], piece[whole]
     # neighbours in the order with the same first bytes, eight bytes at a time
-    words = np.ndarray((len(text) - 7,), "<u8", buffer=text, strides=(1,))
+    words = np.ndarray((max(len(text) - 7, 0),), "<u8", buffer=text, strides=(1,))
     same = np.ones(len(order), dtype=bool)
     same[:1] = False
     steps = [*range(0, how.length - 7, 8), how.length - 8] if how.length >= 8 else []
@@ -353,36 +353,49 @@ def _stretches(pieces: DataFrame, how: Passages, tasks: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
     ordered = pieces.repartition(tasks, "key").sortWithinPartitions("key")
 
-    def found(held: list[pa.Table]) -> pa.RecordBatch:
-        table = pa.concat_tables(held).combine_chunks()
+    def settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The stretches among the rows of whole keys."""
+        keys = table["key"].to_numpy()
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(heads, append=len(keys))
+        # a piece that is alone with its key covers nothing
+        table = table.filter(pa.array(np.repeat(counts > 1, counts))).combine_chunks()
+        if table.num_rows == 0:
+            return
         ids, starts = table["doc_id"].to_numpy(), table["start"].to_numpy()
-        at, begin, end = covered(ids, starts, table["piece"].to_pylist(), how)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids[at], pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64())], schema=schema
-        )
+        data, offsets = kernels.text_bytes(table["piece"].chunk(0).cast(pa.large_binary()))
+        sizes = np.diff(offsets)
+        # as many whole keys at a time as fit into a suffix array's bytes
+        firsts = np.concatenate([[0], np.cumsum(counts[counts > 1])])
+        at = 0
+        while at < len(firsts) - 1:
+            begin = firsts[at]
+            at = max(at + 1, int(np.searchsorted(offsets[firsts], offsets[begin] + how.sorted_bytes, "right")) - 1)
+            part = slice(begin, firsts[at])
+            number, start, stop = covered(
+                ids[part], starts[part], data[offsets[begin] : offsets[firsts[at]]], sizes[part], how
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[part][number]), pa.array(start), pa.array(stop)], schema=schema
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def shipped() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                done = pa.compute.is_null(batch.column("piece"))
-                covered_here.append(batch.filter(done).select(["doc_id", "start", "stop"]))
-                yield batch.filter(pa.compute.invert(done))
-
-        covered_here: list[pa.RecordBatch] = []
-        for table in key_runs(shipped(), ["key"]):
-            yield from covered_here
-            covered_here.clear()
-            if table.num_rows > 1:
-                held.append(table)
-                size += table["piece"].nbytes
-            if size >= how.sorted_bytes:
-                yield found(held)
-                held, size = [], 0
-        yield from covered_here
-        if held:
-            yield found(held)
+        rest: pa.Table | None = None
+        for batch in batches:
+            done = pa.compute.is_null(batch.column("piece"))
+            yield batch.filter(done).select(["doc_id", "start", "stop"])
+            batch = batch.filter(pa.compute.invert(done))
+            if batch.num_rows == 0:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            keys = table["key"].to_numpy()
+            # the last key may go on in the next batch
+            last = int(np.searchsorted(keys, keys[-1]))
+            yield from settled(table.slice(0, last)) if last else ()
+            rest = table.slice(last)
+        if rest is not None:
+            yield from settled(rest)
 
     return ordered.mapInArrow(run, "doc_id bigint, start bigint, stop bigint")
 
