@@ -1,9 +1,10 @@
 """Mixing sources to target weights by fitting subset sums.
 
 Documents are counted by source and exact length in tokens. A source's target is met by
-whole repeats of all its documents, then by a proportional share of every length, then by
-a bounded knapsack over the lengths for what is left of the budget. Which documents of a
-length are taken follows a seeded order.
+whole repeats of all its documents, then by a proportional share of every length that fits,
+repeated while more than the knapsack's window is left, then by a bounded knapsack over the
+lengths for what is left of the budget. Which documents of a length are taken follows a
+seeded order.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int) ->
     """How many documents of each length to take, so that their sum comes to ``budget``.
 
     The result is at most ``budget`` and at most ``counts``. Most is taken in proportion to
-    the counts; what is left, a few times the longest document but at most ``window``
-    tokens, is a bounded knapsack by dynamic programming.
+    the counts of the lengths that fit, again without those that no longer do, until at
+    most ``window`` tokens are left or no spare document fits; what is left, a few times the
+    longest document that fits, is a bounded knapsack by dynamic programming. Above the
+    window documents are not given back to make room for others, so the sum can then miss
+    ``budget`` by less than the shortest spare document.
     """
     taken = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -51,17 +55,26 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int) ->
         return taken
     if budget >= total:
         return np.where(lengths > 0, counts, 0).astype(np.int64)
-    reserve = min(window, RESERVED * int(lengths.max()), budget)
-    exact = counts * ((budget - reserve) / total)
-    taken = np.minimum(np.floor(exact), counts).astype(np.int64)
-    taken[lengths <= 0] = 0
-    left = budget - int((lengths * taken).sum())
-    for i in np.lexsort((-lengths, taken - exact)):  # the largest remainder first
+    left = budget
+    while True:
+        fits = (lengths > 0) & (lengths <= left) & (taken < counts)
+        if not fits.any():
+            break
+        spare = np.where(fits, counts - taken, 0)
+        reserve = min(window, RESERVED * int(lengths[fits].max()), left)
+        exact = spare * min(1.0, (left - reserve) / int((lengths * spare).sum()))
+        more = np.minimum(np.floor(exact), spare).astype(np.int64)
+        left -= int((lengths * more).sum())
+        for i in np.lexsort((-lengths, more - exact)):  # the largest remainder first
+            if left <= window:
+                break
+            if lengths[i] <= left and more[i] < spare[i]:
+                more[i] += 1
+                left -= int(lengths[i])
+        taken += more
+        # above the window, a length was passed over as it no longer fits: once more without it
         if left <= window:
             break
-        if 0 < lengths[i] <= left and taken[i] < counts[i]:
-            taken[i] += 1
-            left -= int(lengths[i])
     top = int(min(left, window))
     if top <= 0:
         return taken

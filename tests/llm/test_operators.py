@@ -214,6 +214,25 @@ def test_knapsack_comes_close(histogram, share, window):
         assert got == max(s for s in reach if s <= budget)
 
 
+@pytest.mark.parametrize(
+    ("histogram", "budget", "expected"),
+    [
+        # one text is longer than the budget, the others come to exactly the budget
+        ({100: 2000, 300_000: 1}, 200_000, 200_000),
+        # a text that fits at first, but not once others are taken
+        ({100: 2000, 190_000: 1}, 200_000, 200_000),
+        # no spare text fits into what is left
+        ({10_000: 10, 300_000: 1}, 290_000, 100_000),
+    ],
+)
+def test_long_texts_leave_the_budget_to_others(histogram, budget, expected):
+    lengths = np.array(sorted(histogram))
+    counts = np.array([histogram[x] for x in lengths])
+    taken = mixing.fitted(lengths, counts, budget, mixing.Mixture().window)
+    assert (taken >= 0).all() and (taken <= counts).all()
+    assert int((taken * lengths).sum()) == expected
+
+
 def brute_targets(sizes, weights, cap=3.0):
     full, total = set(), float(sum(sizes.values()))
     while True:
