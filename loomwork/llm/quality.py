@@ -116,7 +116,7 @@ def quality_kernel(how: Bands):
             if begin == end:
                 continue
             ratio[i] = len(compressor.compress(data[begin:end])) / (end - begin)
-            if end - begin < 2 * how.chunk:
+            if end - begin <= how.chunk:  # one chunk, the whole text
                 bad[i] = 0.0 if within(end - begin, ratio[i]) else 1.0
                 continue
             wrong = 0

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import random
+import string
 import zlib
 
 import numpy as np
@@ -426,6 +427,20 @@ def test_quality_bands(spark):
     assert not rows[1].base_failed
 
 
+@pytest.mark.parametrize("size", [4097, 6000, 8000, 8191])
+def test_chunks_of_texts_below_two_chunks(size):
+    draw = random.Random(9)
+    vocabulary = ["".join(draw.choices("etaoinshrdlu", k=draw.randrange(2, 9))) for _ in range(600)]
+    prose = " ".join(draw.choices(vocabulary, k=3000))
+    noise = "".join(draw.choices(string.ascii_letters + string.digits + "+/", k=4096))
+    texts = [prose[:size], (noise + " " + prose)[:size], ("la " * 1366)[:4096] + noise[: size - 4096]]
+    ratio, bad = quality.quality_kernel(quality.Bands())(pa.array(texts, pa.string()))[5:]
+    assert bad[0] < 0.5
+    assert (bad[1:] >= 0.5).all()
+    if size == 8000:  # the halves cancel out in the whole text
+        assert 0.26 <= ratio[1].as_py() <= 0.72
+
+
 # kernels
 
 
