@@ -1,11 +1,13 @@
 """Toxicity by weak supervision.
 
 Many voters look at a document: lexicon voters for words, pattern voters for how words
-begin, form voters for shouting. A generative label model, fitted by expectation
-maximisation without labels, estimates how often each voter fires on toxic and on other
-documents, and how voters hang together within a class; its posterior labels train a
-linear classifier over the words and word beginnings, which scores every document.
-Labels are only used to propose voters and to say which class is the toxic one.
+begin; two more speak against when no voter of their kind fires. A generative label model,
+fitted by expectation maximisation on a sample of labelled documents, estimates how often
+each voter fires on toxic and on other documents, and how voters hang together within a
+class; its posterior labels train a linear classifier over the words and word beginnings,
+which scores every document. Labels propose voters and enter the label model as a prior of
+half the weight. The sample takes the labels about evenly; its rows are weighted so that
+each label has the share it has among all labelled documents.
 """
 
 from __future__ import annotations
@@ -120,7 +122,7 @@ def first_of_copies(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def label_model(
-    votes: np.ndarray, polarity: np.ndarray, y: np.ndarray, rounds: int = 60
+    votes: np.ndarray, polarity: np.ndarray, y: np.ndarray, rounds: int = 60, mass: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of class 1 for each row of ``votes``, the voters' firing rates and weights.
 
@@ -130,19 +132,21 @@ def label_model(
     half the weight, which says which class is which. Voters that hang together within the
     classes would count the same evidence several times; every few rounds their
     correlations given the class are estimated, and a voter's weight becomes one over the
-    sum of its positive correlations.
+    sum of its positive correlations. ``mass`` is how many documents each row stands for, on
+    average one; by default one each.
     """
     n, m = votes.shape
     y = y.astype(float)
+    mass = np.ones(n) if mass is None else mass
     post, weight, rates = y.copy(), np.ones(m), np.full((2, m), 0.5)
     for step in range(rounds):
         for c in (0, 1):
-            p = (post + y) / 2 if c else 1 - (post + y) / 2
+            p = mass * ((post + y) / 2 if c else 1 - (post + y) / 2)
             rates[c] = (p @ votes + 0.05) / (p.sum() + 1.0)
-        share = np.clip((post + y).mean() / 2, 0.001, 0.999)
+        share = np.clip((mass * (post + y)).mean() / 2, 0.001, 0.999)
         if step % 10 == 0:
             within = np.zeros((m, m))
-            for p, rate in ((1 - post, rates[0]), (post, rates[1])):
+            for p, rate in ((mass * (1 - post), rates[0]), (mass * post, rates[1])):
                 off = votes - rate
                 cov = (off * p[:, None]).T @ off / max(p.sum(), 1e-9)
                 scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
@@ -161,13 +165,16 @@ def label_model(
     return post, rates, weight
 
 
-def _logistic(rows: np.ndarray, cols: np.ndarray, n: int, m: int, soft: np.ndarray) -> tuple[np.ndarray, float]:
+def _logistic(
+    rows: np.ndarray, cols: np.ndarray, n: int, m: int, soft: np.ndarray, mass: np.ndarray
+) -> tuple[np.ndarray, float]:
     """Weights of a logistic regression on 0/1 features, with soft labels, by gradient descent."""
-    weights, bias = np.zeros(m), float(np.log(max(soft.mean(), 1e-3) / max(1 - soft.mean(), 1e-3)))
+    share = float((mass * soft).mean())
+    weights, bias = np.zeros(m), float(np.log(max(share, 1e-3) / max(1 - share, 1e-3)))
     speed, bias_speed = np.full(m, 1e-6), 1e-6
     for _ in range(800):
         z = bias + np.bincount(rows, weights[cols], minlength=n)
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - soft) / n
+        error = mass * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - soft) / n
         gradient = np.bincount(cols, error[rows], minlength=m) + 1e-5 * weights
         speed += gradient**2
         bias_speed += error.sum() ** 2
@@ -176,12 +183,23 @@ def _logistic(rows: np.ndarray, cols: np.ndarray, n: int, m: int, soft: np.ndarr
     return weights, bias
 
 
-def train(texts: list[str], labels: list[int], how: Supervision = Supervision()) -> ToxicityModel | None:
-    """None without any text."""
+def row_mass(y: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+    """How many documents each row stands for, one on average, so that each label has its share of ``totals``."""
+    n = np.bincount(y, minlength=2)
+    share = np.array([totals.get(c, 0) if n[c] else 0 for c in (0, 1)], dtype=float)
+    share /= share.sum()
+    return (share * len(y) / np.maximum(n, 1))[y]
+
+
+def train(
+    texts: list[str], labels: list[int], how: Supervision = Supervision(), totals: dict[int, int] | None = None
+) -> ToxicityModel | None:
+    """None without any text. ``totals``: all labelled documents of each label, by default the sample's."""
     if not texts:
         return None
     own = first_of_copies(*kernels.text_bytes(pa.array(texts)))
     texts, y = [texts[i] for i in own], np.array(labels, dtype=np.int64)[own]
+    mass = row_mass(y, totals or dict(enumerate(np.bincount(labels, minlength=2).tolist())))
     rows, hashes, beginning = _indicators(pa.array(texts))
     known, cols = np.unique(hashes, return_inverse=True)
     begins = np.zeros(len(known), dtype=bool)
@@ -196,7 +214,7 @@ def train(texts: list[str], labels: list[int], how: Supervision = Supervision())
     told = (surprise >= np.log(len(known) / how.by_chance)) & (np.abs(odds) >= how.odds)
     proposed = told & (odds > 0) & (positive >= how.support)
     if not proposed.any():
-        share = float(np.clip(y.mean(), 0.001, 0.999))
+        share = float(np.clip((mass * y).mean(), 0.001, 0.999))
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
     # each voter has tokens of about the same odds, so that strong ones are not watered down
     voter = np.full(len(known), -1)
@@ -212,14 +230,14 @@ def train(texts: list[str], labels: list[int], how: Supervision = Supervision())
     polarity = np.concatenate([np.ones(votes.shape[1]), np.zeros(2)])
     votes = np.column_stack([votes, *silent]).astype(float)
     used = votes.any(axis=0)
-    post, _, _ = label_model(votes[:, used], polarity[used], y, how.rounds)
+    post, _, _ = label_model(votes[:, used], polarity[used], y, how.rounds, mass)
     # the classifier sees the tokens that tell either class, the most telling ones if there are many
     chosen = np.flatnonzero(told)
     chosen = np.sort(chosen[np.argsort(-surprise[chosen], kind="stable")[: how.features]])
     place = np.full(len(known), -1)
     place[chosen] = np.arange(len(chosen))
     seen = place[cols] >= 0
-    weights, bias = _logistic(rows[seen], place[cols[seen]], len(texts), len(chosen), post)
+    weights, bias = _logistic(rows[seen], place[cols[seen]], len(texts), len(chosen), post, mass)
     return ToxicityModel(known[chosen], weights, bias)
 
 
@@ -252,12 +270,17 @@ def score_kernel(model: ToxicityModel | None):
 def fit(docs: DataFrame, labels: DataFrame, how: Supervision = Supervision()) -> ToxicityModel | None:
     """Learn from the labelled documents that are not held out.
 
+    All of them are counted for the labels' shares. Of a text over ``how.chars`` characters
+    the sample has one seeded window, under the label of the whole text.
+
     A null label is none. Where a doc_id has several labels, 1 prevails.
     """
     rows = labels.where(~held_out() & F.col("toxic").isNotNull())
     one_each = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = labelled_sample(docs, one_each, "toxic", how.per_label, how.chars, how.seed)
-    return train(sample["text"].tolist(), sample["label"].tolist(), how)
+    known = one_each.join(docs.where(F.col("text").isNotNull()).select("doc_id"), "doc_id", "left_semi")
+    totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    return train(sample["text"].tolist(), sample["label"].tolist(), how, totals)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, how: Supervision = Supervision()) -> DataFrame:

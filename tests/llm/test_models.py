@@ -67,6 +67,28 @@ def test_toxicity_of_held_out_documents(spark):
     assert all((r.score >= 0.3) == (r.predicted == 1) for r in held)
 
 
+def test_a_small_sample_keeps_the_share_of_toxic_documents(spark):
+    draw = random.Random(5)
+    rows, marks = [], []
+    for i in range(3000):
+        words = prose(draw, "xx", draw.randrange(20, 60)).split()
+        toxic = draw.random() < 0.05
+        # words of many toxic and some clean documents
+        for word, p in (("zargol", 0.7 if toxic else 0.1), ("blevit", 0.7 if toxic else 0.1)):
+            if draw.random() < p:
+                words.insert(draw.randrange(len(words)), word)
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").cache()
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    means = []
+    for per_label in (100, 100_000):
+        found = toxicity.toxicity(docs, labels, toxicity.Supervision(per_label=per_label)).collect()
+        means.append(np.mean([r.score for r in found]))
+    # a sample with as many toxic as other documents scores like all labelled documents
+    assert abs(means[0] - means[1]) < 0.05 and max(means) < 0.2
+
+
 def test_label_model_finds_rates_without_labels_of_most_rows():
     rng = np.random.default_rng(4)
     truth = rng.random(3000) < 0.3
