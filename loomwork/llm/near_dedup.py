@@ -12,9 +12,10 @@ to be connected need no comparison. Two rounds find them without listing a group
 
 1. Every document of a bucket is compared with the bucket's smallest doc_id.
 2. In buckets that still hold several components, all pairs across components are compared
-   where their sketches and sets lie, each pair in the first bucket that it shares. Of the
-   links found only the best few of a document to each other component come out and are
-   confirmed. After that no candidate link between components is missing.
+   where their sketches and sets of 64-bit hashes lie, each pair in the first bucket that
+   it shares. Of the links found only the best few of a document to each other component
+   come out and are confirmed on words. After that no candidate link between components is
+   missing.
 """
 
 from __future__ import annotations
@@ -239,19 +240,32 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, how: Sketching) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _small_sets(docs: DataFrame, how: Sketching) -> DataFrame:
-    """doc_id, shingles: the set as ascending 32-bit hashes."""
+def _hash_sets(docs: DataFrame, how: Sketching) -> DataFrame:
+    """doc_id, shingles: the set as ascending 64-bit hashes."""
 
     def kernel(texts: pa.Array) -> list:
         hashes, bounds = shingle_sets(texts, how.words)
-        low = (hashes >> np.uint64(32)).astype("<u4")
-        return [[np.unique(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]]
+        raw = hashes.astype("<u8").tobytes()
+        return [[raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]]
 
     return map_texts(docs, kernel, [("shingles", pa.binary())], slice_bytes=1 << 19)
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """32-bit numbers that are equal where the 64-bit ``values`` are."""
+    order = np.argsort(values)
+    new = np.zeros(len(values), dtype=np.uint32)
+    new[1:] = values[order[1:]] != values[order[:-1]]
+    out = np.empty_like(new)
+    out[order] = np.cumsum(new, dtype=np.uint32)
+    return out
+
+
 def _common(x: np.ndarray, y: np.ndarray, values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The size of the intersection of sets x[i] and y[i], which lie in ``values`` from ``first``."""
+    """The size of the intersection of sets x[i] and y[i], which lie in ``values`` from ``first``.
+
+    ``values`` are below 2^32, and distinct within a set.
+    """
     sizes = np.diff(first)
     both, pair = np.concatenate([x, y]), np.concatenate([np.arange(len(x))] * 2)
     lengths = sizes[both]
@@ -306,8 +320,8 @@ def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
     def judged(table: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
         registers = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(table.num_rows, -1)
         raw = table["shingles"].to_pylist()
-        values = np.frombuffer(b"".join(raw), "<u4")
-        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // 4)])
+        values = _ranks(np.frombuffer(b"".join(raw), "<u8")) if len(x) else np.zeros(0, np.uint32)
+        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // 8)])
         ids, comp, n, band = (table[c].to_numpy() for c in ("doc_id", "component", "n_shingles", "band"))
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
         for at in range(0, len(x), PAIRS_AT_ONCE):
@@ -318,8 +332,7 @@ def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
             may = estimates(registers[i], registers[j], n[i], n[j], how)[1]
             i, j = i[may], j[may]
             both = _common(i, j, values, first)
-            # one more, should two shingles of a set share a hash
-            link = 100 * (both + 1) >= how.percent * (n[i] + n[j] - both - 1)
+            link = 100 * both >= how.percent * (n[i] + n[j] - both)
             found.append((i[link], j[link], (both / (n[i] + n[j] - both))[link]))
         x, y, similar = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((-similar, comp[y], x))
@@ -396,10 +409,10 @@ def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
         F.min("component").alias("least"), F.max("component").alias("most")
     )
     several = cut_lineage(labelled.join(spans.where("least <> most").select("bucket"), "bucket"))
-    small = _small_sets(
+    hashed = _hash_sets(
         texts.join(several.select("doc_id").distinct(), "doc_id", "left_semi"), how
     )
-    crossing = cut_lineage(_cross_links(several.join(sets.join(small, "doc_id"), "doc_id"), how))
+    crossing = cut_lineage(_cross_links(several.join(sets.join(hashed, "doc_id"), "doc_id"), how))
     if not crossing.isEmpty():
         fresh = cut_lineage(_confirmed(crossing, texts, how))
         stars = found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))

@@ -314,6 +314,32 @@ def test_near_components(spark, words, block):
     assert [rows[i].kept for i in range(len(texts))] == [i == c for i, c in enumerate(wanted)]
 
 
+def test_shingles_that_share_half_a_hash(spark):
+    words = [f"w{i}" for i in range(400_000)]
+    hashes, _ = near_dedup.shingle_sets(pa.array(words), 1)
+    high = hashes >> np.uint64(32)
+    order = np.argsort(high, kind="stable")
+    again = np.flatnonzero(high[order][1:] == high[order][:-1])[:6]
+    common = sorted({words[order[k + d]] for k in again.tolist() for d in (0, 1)})
+    assert len(again) == 6 and len(common) == 12
+    # 12 of 15 words in common; the first document is the bucket's head and near to neither
+    texts = [" ".join(x) for x in (common[:9] + list("cdefgh"), common + ["i", "j"], common + ["k"])]
+    hashes, bounds = near_dedup.shingle_sets(pa.array(texts), 1)
+    for seed in range(1000):
+        how = near_dedup.Sketching(words=1, bands=1, rows=1, seed=seed)
+        if len(np.unique(near_dedup.sketches(hashes, bounds, how))) == 1:
+            break
+    rows = {r.doc_id: r for r in near_dedup.near_components(docs_of(spark, texts), how).collect()}
+    assert [rows[i].component_id for i in range(3)] == link_components([set(t.split()) for t in texts]) == [0, 1, 1]
+
+
+@pytest.mark.parametrize("size", [0, 1, 1000])
+def test_ranks(size):
+    values = np.random.default_rng(12).choice(np.arange(1, 400, dtype=np.uint64) << np.uint64(40), size)
+    ranks = near_dedup._ranks(values)
+    assert len(ranks) == size and (ranks.astype(np.int64) == np.unique(values, return_inverse=True)[1]).all()
+
+
 def test_registers_estimate_similarity():
     how = near_dedup.Sketching(words=1)
     shared = [f"s{i}" for i in range(800)]
