@@ -81,6 +81,26 @@ FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')),
       FROM documents) d, full_table, prefs
 """
 
+OP11 = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+controls AS (SELECT ['<s>', '</s>', '[INST]', '[/INST]', '[/ROLE]', '\'] AS c),
+sized AS (
+  SELECT conv_id, turn, role, text,
+         length(text) + list_sum(list_transform(c, lambda x: (length(text) - length(replace(text, x, ''))) // length(x))) AS text_size,
+         length(role) + list_sum(list_transform(c, lambda x: (length(role) - length(replace(role, x, ''))) // length(x))) AS role_size
+  FROM given, controls)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(CASE WHEN role = 'assistant' THEN text_size + 4 ELSE 6 + role_size + 7 + text_size + 7 END) AS BIGINT)
+         AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_packing": OP1, "op3_exact_dedup": OP3, "op9_sharding": OP9}
+    return {"op1_packing": OP1, "op3_exact_dedup": OP3, "op9_sharding": OP9, "op11_chat_format": OP11}

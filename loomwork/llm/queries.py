@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomwork.llm import (
+    align,
+    chat_format,
     exact_dedup,
     language_id,
     mixing,
@@ -15,6 +17,7 @@ from loomwork.llm import (
     suffix_dedup,
     token_files,
     toxicity,
+    whitening,
 )
 from loomwork.llm.columns import spread
 from loomwork.plans.inputs import table
@@ -68,6 +71,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spread(documents(spark, sf_dir)))
 
 
+#: A conversation whose texts hold control strings of the template.
+CONTROL_STRINGS = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL_STRINGS), (-1, 1, "assistant", CONTROL_STRINGS)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    return chat_format.format_conversations(rows.unionByName(own))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align.alignments(spread(documents(spark, sf_dir)), *paths)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -79,4 +106,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_chat_format": op11_chat_format,
+    "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
