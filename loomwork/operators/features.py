@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.functions.rowstats import add_row_statistics
-from loomwork.operators.ordered import (
-    BLOCK,
-    POSITION,
-    interpolate,
-    lag_diff,
-    same_keys,
-    sorted_positions,
-)
+from loomwork.operators.ordered import interpolate, lag_diff
+from loomwork.operators.positions import same_keys
+from loomwork.operators.ranks import medians
 from loomwork.operators.skew import SALT_ROWS, attach
 
 # The columns that the row statistics cover, and the time up to
@@ -129,45 +124,6 @@ def weighted_index(df: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def medians(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """The exact median of each column per key: ``median_<column>``; null keys are a key.
-
-    All values are sorted once by key, column and value, split by range. How many values
-    of a key each block holds tells where its middle ones lie, and only these are looked
-    up. So a key of any size is spread over as many tasks as it needs.
-    """
-    values = (
-        df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([key], columns, "_column", "_value")
-        .where(F.col("_value").isNotNull())
-    )
-    rows = sorted_positions(values, [key, "_column", "_value"])
-    parts = rows.groupBy(key, "_column", BLOCK).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(POSITION).alias("_start")
-    )
-    whole = Window.partitionBy(key, "_column")
-    before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = F.array(F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1"))
-    middle = (
-        parts.withColumn("_all", F.sum("_n").over(whole))
-        .withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("_rank", F.explode(ranks))
-        .where((F.col("_rank") > F.col("_ahead")) & (F.col("_rank") <= F.col("_ahead") + F.col("_n")))
-        .select(
-            key, "_column", BLOCK, (F.col("_start") + F.col("_rank") - F.col("_ahead") - 1).alias(POSITION)
-        )
-    )
-    found = middle.join(rows.select(BLOCK, POSITION, "_value"), [BLOCK, POSITION])
-    wide = found.groupBy(key).agg(
-        *[
-            F.avg(F.when(F.col("_column") == c, F.col("_value"))).alias(f"median_{c}")
-            for c in columns
-        ]
-    )
-    # a key without any value in these columns still has its row
-    return same_keys(df.select(key).distinct(), wide, [key], "left")
-
-
 def stock_features(df: DataFrame) -> DataFrame:
     """One row per stock: median, spread and range of its sizes and prices."""
     return _stock_features(df).drop("_rows")
