@@ -44,6 +44,10 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
+#: The columns whose change since a stock's row before is a feature.
+LAGGED = ["imbalance_size", "bid_ask_spread"]
+
+
 def book_features(
     df: DataFrame,
     weights: DataFrame,
@@ -57,13 +61,20 @@ def book_features(
     between rows of one stock or time step. ``weights`` has ``stock_id, weight``. A
     division by zero gives null.
     """
+    moved = with_momentum(lag_diff(row_features(df), LAGGED, ["stock_id"], order_by))
+    # from the rows as given, so that the index does not wait for the lags
+    return with_index(moved, weights, spread, salt_rows, weighted_index(df, weights))
+
+
+def row_features(df: DataFrame) -> DataFrame:
+    """The features that a row has by itself."""
     ask, bid = F.col("ask_price"), F.col("bid_price")
     ask_size, bid_size = F.col("ask_size"), F.col("bid_size")
     volume = ask_size + bid_size
     gap = ask - bid
     mid = (ask + bid) / 2
     tilt = F.try_divide(bid_size - ask_size, volume)
-    basic = df.withColumns(
+    return df.withColumns(
         {
             "volume": volume,
             "mid_price": mid,
@@ -77,16 +88,29 @@ def book_features(
             "depth_pressure2": volume * (F.col("far_price") + F.col("near_price")),
         }
     )
-    moved = lag_diff(
-        basic, ["imbalance_size", "bid_ask_spread"], ["stock_id"], order_by
-    ).withColumns(
+
+
+def with_momentum(df: DataFrame) -> DataFrame:
+    """The features that rest on the differences of ``LAGGED``, in their place."""
+    return df.withColumns(
         {
             "imbalance_momentum": F.try_divide("imbalance_size_diff1", "matched_size"),
             "spread_intensity": F.col("bid_ask_spread_diff1"),
         }
-    )
-    index = weighted_index(df, weights)
-    weighted = moved.join(_stock_weights(weights), "stock_id", "left").withColumn(
+    ).drop("imbalance_size_diff1", "bid_ask_spread_diff1")
+
+
+def with_index(
+    df: DataFrame,
+    weights: DataFrame,
+    spread: list[str],
+    salt_rows: int = SALT_ROWS,
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """Each row's weight, and the weighted index of its time step."""
+    if index is None:
+        index = weighted_index(df, weights)
+    weighted = df.join(_stock_weights(weights), "stock_id", "left").withColumn(
         "weighted_wap", F.col("stock_weight") * F.col("wap")
     )
     return (
@@ -100,7 +124,7 @@ def book_features(
             salt_rows=salt_rows,
         )
         .withColumn("indexwapdiff", F.col("wap") - F.col("indexwap"))
-        .drop("imbalance_size_diff1", "bid_ask_spread_diff1", "_rows")
+        .drop("_rows")
     )
 
 

@@ -275,6 +275,26 @@ def _stock_features() -> str:
     return f"SELECT stock_id, {columns} FROM book GROUP BY stock_id"
 
 
+def _stream_features() -> str:
+    stocks = _stock_features().replace("FROM book", "FROM rows_in")
+    stages = f"""
+rows_in AS MATERIALIZED (SELECT book.*, ask_price - bid_price AS gap, weight
+  FROM book LEFT JOIN weights USING (stock_id) WHERE ask_price IS NOT NULL),
+i AS MATERIALIZED (SELECT time_id, sum(weight * wap) / nullif(sum(weight), 0) AS indexwap FROM rows_in GROUP BY time_id),
+s AS MATERIALIZED ({stocks})"""
+    return sql(
+        f"""SELECT stock_id, time_id, k1, k2, k3,
+  {r('(imbalance_size - lag(imbalance_size) OVER w) / nullif(matched_size, 0)', 4)} AS imbalance_momentum,
+  {r('gap - lag(gap) OVER w', 4)} AS spread_intensity,
+  {r('wap - indexwap', 4)} AS indexwapdiff, {r('global_median_size', 4)} AS global_median_size
+FROM rows_in JOIN i USING (time_id) JOIN s USING (stock_id)
+WINDOW w AS (PARTITION BY stock_id ORDER BY {ORDER})""",
+        "book",
+        "weights",
+        more=stages,
+    )
+
+
 def _row_stats() -> str:
     groups = {
         "all_prices": ["reference_price", "far_price", "near_price", "ask_price", "bid_price", "wap"],
@@ -548,22 +568,34 @@ FROM documents LEFT JOIN doc_topics USING (doc_id) GROUP BY doc_id, text""",
         "inferred_csv_scan": sql(
             f"SELECT {KEY}, {r('ask_price')} AS ask_price, 'int,int,int,int,int,double' AS types FROM book", "book"
         ),
-        "holdout_mae": sql(
-            "SELECT count(*) AS rows, true AS below_constant FROM book "
-            "WHERE ask_price IS NOT NULL AND date_id > 110",
-            "book",
-        ),
-        "fold_models": sql(
-            "SELECT fold, count(*) AS rows, true AS below_constant FROM folded WHERE fold >= 0 GROUP BY fold",
+        "constant_mae": sql(
+            f"""SELECT fold::INT AS fold, training_rows, {r('constant')} AS constant, count(target) AS rows,
+  {r('avg(abs(target - constant))')} AS constant_mae
+FROM (SELECT fold, target FROM folded WHERE fold >= 0
+      UNION ALL SELECT 5, target FROM book WHERE ask_price IS NOT NULL AND date_id > 110) p
+JOIN (SELECT f.fold, count(*) AS training_rows, median(t.target) AS constant
+      FROM range(6) f(fold) JOIN folded t ON t.fold < f.fold GROUP BY f.fold) c USING (fold)
+GROUP BY fold, training_rows, constant""",
             "book",
             more="training AS MATERIALIZED (SELECT * FROM book WHERE ask_price IS NOT NULL AND date_id <= 110),"
             + _folds("training"),
         ),
-        # 11 columns of the book, 16 of its features, 6 of the stock, 3 of the time, 10 statistics
-        "feature_importance": "SELECT 46::BIGINT AS features, 1.0::DOUBLE AS importance, true AS agree",
-        "learning_curve": "SELECT true AS several, true AS falls, 1::BIGINT AS best",
+        # the stock itself, the book's own numbers, and what was added to them
+        "model_features": sql(
+            """SELECT column_name AS feature FROM (DESCRIBE book)
+WHERE column_name NOT IN ('date_id', 'time_id', 'k1', 'k2', 'k3', 'target')
+UNION ALL SELECT unnest(string_split(
+  'volume mid_price bid_ask_spread bid_ask_ratio liquidity_imbalance market_urgency market_urgency_v2 '
+  || 'price_pressure depth_pressure depth_pressure2 imbalance_momentum spread_intensity indexwap indexwapdiff '
+  || 'stock_weight weighted_wap day_of_week seconds minute', ' '))
+UNION ALL SELECT 'global_' || unnest(['median_size', 'std_size', 'ptp_size', 'median_price', 'std_price', 'ptp_price'])
+UNION ALL SELECT g || '_' || s FROM (SELECT unnest(['all_prices', 'all_sizes']) AS g),
+  (SELECT unnest(['mean', 'std', 'skew', 'kurt', 'max']) AS s)""",
+            "book",
+        ),
         "stream_scores": sql(
             "SELECT date_id, count(*) AS rows FROM book WHERE ask_price IS NOT NULL AND date_id > 110 GROUP BY date_id",
             "book",
         ),
+        "stream_features": _stream_features(),
     }
