@@ -7,7 +7,8 @@ partial results appear here. Fractions end in ``+ 0.0``, which turns -0.0 into 0
 from __future__ import annotations
 
 from loomwork.functions.text import PRIME, STOP_WORDS, hash_parameters
-from loomwork.plans.queries import ITEM, NODE, USER
+from loomwork.operators.weighted import sampling_parameters
+from loomwork.plans.queries import ITEM, NODE, SAMPLES, USER
 
 ORDER = "time_id, k1, k2, k3"
 KEY = "stock_id, time_id, k1, k2, k3"
@@ -97,7 +98,30 @@ FROM links a JOIN links b
 ON a.band = b.band AND a.head_id = b.head_id AND a.doc_id < b.doc_id
 GROUP BY 1, 2"""
 
+INPUTS["set_of"] = """
+SELECT doc_id, n, min(doc_id) OVER (PARTITION BY key) AS set_id
+FROM (SELECT doc_id, count(*) AS n, string_agg(shingle, '|' ORDER BY shingle) AS key FROM grams GROUP BY doc_id) s"""
+INPUTS["similar_sets"] = """
+SELECT set_id_1, set_id_2, common, a.n::BIGINT AS size_1, b.n::BIGINT AS size_2
+FROM (SELECT a.doc_id AS set_id_1, b.doc_id AS set_id_2, count(*) AS common
+      FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2) c
+JOIN set_of a ON a.doc_id = set_id_1 JOIN set_of b ON b.doc_id = set_id_2
+WHERE 100 * common >= 80 * (a.n + b.n - common)"""
+INPUTS["held"] = "SELECT grams.* FROM grams JOIN set_of USING (doc_id) WHERE doc_id = set_id"
+_MAPS = ", ".join(
+    f"({k}, " + ", ".join(f"{a}::BIGINT, {b}::BIGINT" for a, b in maps) + ")"
+    for k, maps in enumerate(sampling_parameters(SAMPLES, 42))
+)
+_MAP_NAMES = ", ".join(f"a{j}, b{j}" for j in range(5))
+_UNIFORM = ", ".join(
+    f"((a{j} * ('0x' || substr(m, {1 + 6 * j}, 6))::BIGINT + b{j}) % {PRIME} + 0.5::DOUBLE) / {PRIME} AS u{j}"
+    for j in range(5)
+)
+
 DEPENDS = {
+    "set_of": ["grams"],
+    "held": ["grams", "set_of"],
+    "similar_sets": ["held", "set_of"],
     "centered_user": ["ratings"],
     "centered_item": ["ratings"],
     "grams": ["words"],
@@ -492,6 +516,27 @@ FROM documents LEFT JOIN grams USING (doc_id) GROUP BY doc_id""",
             "doc_topics",
             more=_METRICS,
         ),
+        "similar_sets": sql("SELECT * FROM similar_sets", "similar_sets"),
+        "lsh_recall": sql(
+            f"""SELECT count(*) AS similar_pairs, count(num_bands_matched) AS found,
+  {r('count(num_bands_matched) / nullif(count(*), 0)')} AS recall
+FROM similar_sets LEFT JOIN pairs ON doc_id_1 = set_id_1 AND doc_id_2 = set_id_2""",
+            "similar_sets",
+            "pairs",
+        ),
+        "weighted_signatures": sql(
+            f"""SELECT doc_id, k::INT AS k, shingle, t FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, k ORDER BY ln(c) - r * (t - u4) - r) AS place FROM (
+    SELECT *, floor(ln(w) / r + u4)::BIGINT AS t FROM (
+      SELECT doc_id, shingle, k, w, -ln(u0 * u1) AS r, -ln(u2 * u3) AS c, u4 FROM (
+        SELECT doc_id, shingle, k, w, {_UNIFORM}
+        FROM (SELECT doc_id, shingle, md5(shingle) AS m, w FROM grams JOIN (
+                SELECT shingle, ln((SELECT count(*) FROM documents) / count(*)) AS w FROM grams GROUP BY shingle) i
+              USING (shingle) WHERE w > 0) g,
+             (VALUES {_MAPS}) AS p(k, {_MAP_NAMES})) a) b) d) e
+WHERE place = 1""",
+            "grams",
+        ),
         "clean_book": sql(
             f"SELECT {_book_row()} FROM filled",
             "book",

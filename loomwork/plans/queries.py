@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.operators import features, graph, model, ordered, ratings, similarity
+from loomwork.operators import features, graph, model, ordered, ratings, setjoin, similarity, weighted
 from loomwork.operators.ranks import values_at
 from loomwork.plans import inputs
 from loomwork.shared import cut_lineage, working_path
@@ -19,6 +19,7 @@ from loomwork.streaming import arriving, scoring
 USER, ITEM, NODE = 2, 2, 3
 SPREAD = ["k1", "k2", "k3"]
 TARGET = "target"
+SAMPLES = 16
 IDS = ["date_id", "time_id", *SPREAD]
 # fewer and larger steps than the operator's own settings; README has their figures
 TREES = {"rounds": 8, "patience": 3, "depth": 5, "step": 0.4, "row_share": 0.5, "column_share": 0.4}
@@ -198,6 +199,27 @@ def pair_metrics(spark, sf):
     return rounded(similarity.pair_metrics(groups, pairs, inputs.doc_topics(spark, sf)))
 
 
+def similar_sets(spark, sf):
+    return setjoin.similar_sets(setjoin.set_classes(_shingled(spark, sf)))
+
+
+def lsh_recall(spark, sf):
+    """How many of all similar pairs are candidates of the 50 bands of 2."""
+    classes = cut_lineage(setjoin.set_classes(_shingled(spark, sf)))
+    groups = _groups(spark, sf)
+    found = setjoin.candidate_recall(
+        classes, setjoin.similar_sets(classes), groups, similarity.group_pairs(groups)
+    )
+    return rounded(found)
+
+
+def weighted_signatures(spark, sf):
+    shingled = _shingled(spark, sf)
+    rows = weighted.weighted_shingles(shingled, similarity.idf(shingled))
+    samples = weighted.weighted_minhash(rows, num_hashes=SAMPLES)
+    return samples.select("doc_id", F.posexplode("samples").alias("k", "s")).select("doc_id", "k", "s.shingle", "s.t")
+
+
 # order book
 
 
@@ -568,6 +590,9 @@ QUERIES: dict[str, Query] = {
     "candidate_pairs": candidate_pairs,
     "candidate_pairs_two_bands": candidate_pairs_two_bands,
     "pair_metrics": pair_metrics,
+    "similar_sets": similar_sets,
+    "lsh_recall": lsh_recall,
+    "weighted_signatures": weighted_signatures,
     "clean_book": clean_book,
     "clean_book_whole": clean_book_whole,
     "interpolate": interpolate,
