@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +53,34 @@ def in_degree(edges: DataFrame) -> DataFrame:
     )
 
 
+# Two to this power registers in a sketch of distinct neighbours: a standard error of
+# 0.0104 on large counts. Counts of up to about a hundred and fifty are exact.
+SKETCH_SIZE = 12
+
+
+def degree_sketches(edges: DataFrame, node: str = "dst", size: int = SKETCH_SIZE) -> DataFrame:
+    """``node, sketch``: a mergeable sketch of each node's distinct neighbours.
+
+    With ``node="src"`` of its targets, with ``"dst"`` of its sources. Sketches of a node are
+    made in the map tasks, so a hub sends one per task and not its edges. They are stored
+    like any column, and new edges need only sketches of their own.
+    """
+    other = {"src": "dst", "dst": "src"}[node]
+    made = _complete(edges).groupBy(F.col(node).alias("node"))
+    return made.agg(F.hll_sketch_agg(other, size).alias("sketch"))
+
+
+def merged_sketches(*sketches: DataFrame) -> DataFrame:
+    """``node, sketch`` of all edges that went into any of the given sketches of one size."""
+    every = reduce(DataFrame.unionByName, sketches)
+    return every.groupBy("node").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketched_degrees(sketches: DataFrame) -> DataFrame:
+    """``node, degree``: about how many distinct neighbours each node has, most first."""
+    return sketches.select("node", F.hll_sketch_estimate("sketch").alias("degree")).orderBy(F.desc("degree"), "node")
+
+
 def _lists(
     weighted: DataFrame, node: str, neighbour: str, per_row: int, salt_rows: int
 ) -> DataFrame:

@@ -407,6 +407,9 @@ def oracle_sql() -> dict[str, str]:
     )
     seen = f"SELECT item_id FROM ratings WHERE user_id = {USER}"
     return {
+        "sorted_csv_sink": sql(
+            f"SELECT item_id, {r('avg(rating)')} AS score FROM ratings GROUP BY item_id", "ratings"
+        ),
         "top_rated": sql(
             f"SELECT item_id, {r('avg(rating)')} AS score FROM ratings GROUP BY item_id", "ratings"
         ),
@@ -465,6 +468,9 @@ sims AS MATERIALIZED (SELECT seen, dots.item_id, d / nullif(p.n * q.n, 0) AS s
         "out_degree": sql(
             "SELECT src AS node, count(DISTINCT dst) AS out_degree FROM edges GROUP BY src", "edges"
         ),
+        "sketched_in_degree": sql(
+            "SELECT dst AS node, count(DISTINCT src) AS degree FROM edges GROUP BY dst", "edges"
+        ),
         "in_degree": sql(
             "SELECT dst AS node, count(DISTINCT src) AS in_degree FROM edges GROUP BY dst", "edges"
         ),

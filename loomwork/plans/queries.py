@@ -109,6 +109,14 @@ def in_degree(spark, sf):
     return graph.in_degree(inputs.edges(spark, sf))
 
 
+def sketched_in_degree(spark, sf):
+    """Two halves of the edges, the sketches of the first stored before the second comes."""
+    edges = inputs.edges(spark, sf)
+    half = F.pmod(F.xxhash64("src", "dst"), F.lit(2))
+    stored = cut_lineage(graph.degree_sketches(edges.where(half == 0)))
+    return graph.sketched_degrees(graph.merged_sketches(stored, graph.degree_sketches(edges.where(half == 1))))
+
+
 def adjacency(spark, sf):
     lists = graph.adjacency(inputs.edges(spark, sf))
     return lists.withColumn("neighbours", as_text(F.col("neighbours")))
@@ -336,6 +344,14 @@ def headed_csv_scan(spark, sf):
     return rounded(tables.headed_csv(spark, path, rows.schema.simpleString()[7:-1].replace(":", " ")))
 
 
+def sorted_csv_sink(spark, sf):
+    """Ranked items in files that are in order, with the place of each file."""
+    path = working_path(spark, "ranked_csv")
+    rows = ratings.top_rated(inputs.ratings(spark, sf))
+    files = sinks.write_sorted_csv(rows, path, [F.desc("score"), "item_id"])
+    return rounded(spark.read.csv(files, schema=rows.schema, header=True))
+
+
 def tagged_records(spark, sf):
     pages = inputs.table(spark, sf, "pages")
     items = records.column_records(pages, "html", "li", "page_id")
@@ -576,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "recommend_item_based": recommend_item_based,
     "out_degree": out_degree,
     "in_degree": in_degree,
+    "sketched_in_degree": sketched_in_degree,
     "adjacency": adjacency,
     "neighbors": neighbors,
     "pagerank": pagerank,
@@ -614,6 +631,7 @@ QUERIES: dict[str, Query] = {
     "tagged_documents_all": tagged_documents_all,
     "headless_csv_scan": headless_csv_scan,
     "inferred_csv_scan": inferred_csv_scan,
+    "sorted_csv_sink": sorted_csv_sink,
     "kept_features": kept_features,
     "constant_mae": constant_mae,
     "model_features": model_features,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 TABLE = "table-"
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A Hadoop path and its file system."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -19,7 +19,7 @@ def _path(spark: SparkSession, path: str):
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file, folder or glob pattern finds anything, on any file system."""
-    found, system = _path(spark, path)
+    found, system = hadoop_path(spark, path)
     return bool(system.globStatus(found))
 
 
@@ -65,7 +65,7 @@ def release(*tables: DataFrame) -> None:
         spark = table.sparkSession
         for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
             if folder.rpartition("/")[2].startswith(TABLE):
-                found, system = _path(spark, folder)
+                found, system = hadoop_path(spark, folder)
                 system.delete(found, True)
 
 

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+
+from loomwork.shared import hadoop_path
+
+#: The file that parts are joined into, where the file system can.
+JOINED = "part-all.csv"
+_CONCAT = "fs.capability.paths.concat"
 
 
 def write_csv(
@@ -18,3 +26,47 @@ def write_csv(
     elif files is not None:
         df = df.repartition(files)
     df.write.mode("overwrite").csv(path, header=header, sep=sep)
+
+
+def write_sorted_csv(
+    df: DataFrame,
+    path: str,
+    order_by: list[str | Column],
+    header: bool = True,
+    sep: str = ",",
+    join: Callable | None = None,
+) -> list[str]:
+    """Write ``df`` as CSV in one order over all files, replacing what is there.
+
+    The rows are sorted by range, and every part is written by its own task; no task sees
+    more than a part. Where the file system can concatenate files without reading them,
+    the parts become one file with one header. Elsewhere they stay, numbered in order,
+    each with a header. Gives the paths of the files in order. ``join`` stands in for the
+    file system's concatenation: it gets the target and the parts, as Hadoop paths.
+    """
+    spark = df.sparkSession
+    folder, system = hadoop_path(spark, path)
+    if join is None and system.hasPathCapability(folder, _CONCAT):
+        join = system.concat
+    ordered = df.orderBy(*order_by)
+    ordered.write.mode("overwrite").csv(path, header=header and join is None, sep=sep)
+    # numbered by the sort's partitions
+    parts = sorted(
+        (s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("part-")),
+        key=lambda p: p.getName(),
+    )
+    if join is None:
+        return [p.toString() for p in parts]
+    target, _ = hadoop_path(spark, f"{path.rstrip('/')}/{JOINED}")
+    out = system.create(target, True)
+    if header:
+        names = [f'"{c}"' if any(x in c for x in (sep, '"', "\n")) else c for c in df.columns]
+        out.write(bytearray((sep.join(names) + "\n").encode()))
+    out.close()
+    if parts:
+        gateway = spark.sparkContext._gateway
+        array = gateway.new_array(gateway.jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, p in enumerate(parts):
+            array[i] = p
+        join(target, array)
+    return [target.toString()]

@@ -121,10 +121,10 @@ def test_hits(spark, edges, salt_rows):
 
 
 def test_only_live_tables_stay(spark):
-    from loomwork.shared import _path, shared_folder
+    from loomwork.shared import hadoop_path, shared_folder
 
     def tables():
-        found, system = _path(spark, shared_folder(spark))
+        found, system = hadoop_path(spark, shared_folder(spark))
         return {f.getPath().getName() for f in system.listStatus(found)}
 
     edges = spark.createDataFrame([(i, (i * 7 + 1) % 20) for i in range(40)], "src int, dst int")
@@ -135,3 +135,23 @@ def test_only_live_tables_stay(spark):
         assert len(tables() - before) == 1
         assert result.count() == graph.nodes(edges).count()
     assert [r.auth for r in result.collect()] == sorted((r.auth for r in result.collect()), reverse=True)
+
+
+def test_sketches_of_parts_equal_the_sketch_of_all(spark):
+    draw = random.Random(12)
+    rows = [("hub", f"s{draw.randrange(40_000)}") for _ in range(60_000)]
+    rows += [(f"d{draw.randrange(50)}", f"s{draw.randrange(40)}") for _ in range(3000)]
+    edges = spark.createDataFrame([(s, d) for d, s in rows], "src string, dst string").repartition(6)
+    exact = {r.node: r.in_degree for r in graph.in_degree(edges).collect()}
+    parts = edges.randomSplit([0.3, 0.5, 0.2], 1)
+    merged = graph.sketched_degrees(graph.merged_sketches(*[graph.degree_sketches(p) for p in parts]))
+    found = {r.node: r.degree for r in merged.collect()}
+    assert found.keys() == exact.keys()
+    for node, n in exact.items():
+        # three standard errors of a sketch of this size; small counts are exact
+        assert abs(found[node] - n) <= (3 * 0.0104 * n if n > 150 else 0)
+    whole = {r.node: r.degree for r in graph.sketched_degrees(graph.degree_sketches(edges)).collect()}
+    assert {k: v for k, v in whole.items() if k != "hub"} == {k: v for k, v in found.items() if k != "hub"}
+    assert abs(whole["hub"] - found["hub"]) <= 0.02 * found["hub"]
+    assert {r.node for r in graph.sketched_degrees(graph.degree_sketches(edges, "src")).collect()} == {s for _, s in rows}
+    assert graph.sketched_degrees(graph.degree_sketches(edges.where("false"))).collect() == []

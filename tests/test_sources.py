@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,42 @@ def test_absent_files_are_passed_over(spark, tmp_path):
     names = [str(there), str(tmp_path / "b.sgm")]
     assert records.file_records(spark, names, "REUTERS").count() == 1
     assert records.file_records(spark, names[1:], "REUTERS").count() == 0
+
+
+def _rows_of(files, header):
+    rows = []
+    for file in files:
+        with open(file.removeprefix("file:")) as f:
+            lines = f.read().splitlines()
+        rows += lines[1:] if header else lines
+    return rows
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_sorted_csv_is_in_order_over_all_files(spark, tmp_path, header):
+    draw = random.Random(3)
+    data = [(i, draw.random(), "a,b") for i in range(3000)]
+    df = spark.createDataFrame(data, "id int, score double, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = sinks.write_sorted_csv(df, str(tmp_path / "out"), [F.desc("score")], header)
+        assert len(files) > 1
+        expected = [i for i, _, _ in sorted(data, key=lambda r: -r[1])]
+        assert [int(r.split(",")[0]) for r in _rows_of(files, header)] == expected
+        assert spark.read.csv(files, schema=df.schema, header=header).count() == 3000
+
+        def join(target, parts):
+            with open(target.toUri().getPath(), "ab") as out:
+                for p in parts:
+                    with open(p.toUri().getPath(), "rb") as part:
+                        out.write(part.read())
+
+        (file,) = sinks.write_sorted_csv(df, str(tmp_path / "one"), [F.desc("score")], header, join=join)
+        assert [int(r.split(",")[0]) for r in _rows_of([file], header)] == expected
+        if header:
+            with open(file.removeprefix("file:")) as f:
+                assert f.readline() == "id,score,text\n"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    empty = sinks.write_sorted_csv(df.where("false"), str(tmp_path / "none"), ["id"], header)
+    assert _rows_of(empty, header) == []
