@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.shared import cut_lineage
+from loomwork.operators.skew import attach
+from loomwork.shared import cut_lineage, release
 
 
 def _star(edges: DataFrame, both: bool) -> DataFrame:
@@ -20,8 +21,10 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
         )
     else:
         seen = edges.select(F.col("b").alias("x"), F.col("a").alias("y"))
-    least = seen.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-    joined = seen.join(least, "x")
+    least = seen.groupBy("x").agg(F.min("y").alias("m"), F.count("*").alias("_rows"))
+    least = least.select("x", F.least("x", "m").alias("m"), "_rows")
+    # a node with a large part of all edges is split
+    joined = attach(seen, least, ["x"], ["y"], rows="_rows")
     if both:
         out = joined.where("y > x").select(F.col("m").alias("a"), F.col("y").alias("b"))
     else:
@@ -45,8 +48,9 @@ def components(links: DataFrame) -> DataFrame:
         mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if mark == before:
             break
-        before = mark
+        before, older = mark, edges
         edges = cut_lineage(_star(_star(edges, True), False))
+        release(older)
     members = edges.select(F.col("b").alias("doc_id"), F.col("a").alias("component_id"))
     heads = edges.select(F.col("a").alias("doc_id"), F.col("a").alias("component_id")).distinct()
     return members.unionByName(heads)
