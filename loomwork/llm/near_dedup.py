@@ -240,17 +240,37 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, how: Sketching) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+#: Bytes of a shingle's hash that travel with a set.
+HASH_BYTES = 6
+
+
 def _hash_sets(docs: DataFrame, how: Sketching) -> DataFrame:
-    """doc_id, shingles: the set as ascending 64-bit hashes."""
+    """doc_id, shingles: the set as distinct ascending hashes of six bytes.
+
+    There are fewer of them than shingles if some have the same six bytes.
+    """
 
     def kernel(texts: pa.Array) -> list:
         hashes, bounds = shingle_sets(texts, how.words)
-        raw = hashes.astype("<u8").tobytes()
-        return [[raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]]
+        short = hashes >> np.uint64(8 * (8 - HASH_BYTES))
+        new = np.ones(len(short), dtype=bool)
+        new[1:] = short[1:] != short[:-1]
+        starts = bounds[:-1]
+        new[starts[starts < len(short)]] = True
+        cuts = np.concatenate([[0], np.cumsum(new)])[bounds].tolist()
+        raw = short[new].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+        return [[raw[HASH_BYTES * a : HASH_BYTES * b] for a, b in zip(cuts, cuts[1:])]]
 
     return map_texts(docs, kernel, [("shingles", pa.binary())], slice_bytes=1 << 19)
 
 
+def _whole_hashes(raw: bytes) -> np.ndarray:
+    """The numbers that ``_hash_sets`` wrote."""
+    out = np.zeros((len(raw) // HASH_BYTES, 8), dtype=np.uint8)
+    out[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
+    return out.view("<u8").ravel()
+
+
 def _ranks(values: np.ndarray) -> np.ndarray:
     """32-bit numbers that are equal where the 64-bit ``values`` are."""
     order = np.argsort(values)
@@ -320,9 +340,12 @@ def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
     def judged(table: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
         registers = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(table.num_rows, -1)
         raw = table["shingles"].to_pylist()
-        values = _ranks(np.frombuffer(b"".join(raw), "<u8")) if len(x) else np.zeros(0, np.uint32)
-        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) // 8)])
+        values = _ranks(_whole_hashes(b"".join(raw))) if len(x) else np.zeros(0, np.uint32)
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // HASH_BYTES
+        first = np.concatenate([[0], np.cumsum(lengths)])
         ids, comp, n, band = (table[c].to_numpy() for c in ("doc_id", "component", "n_shingles", "band"))
+        # so many common shingles at most can hide behind equal hashes
+        hidden = n - lengths
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
         for at in range(0, len(x), PAIRS_AT_ONCE):
             i, j = x[at : at + PAIRS_AT_ONCE], y[at : at + PAIRS_AT_ONCE]
@@ -331,7 +354,7 @@ def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
             i, j = i[here], j[here]
             may = estimates(registers[i], registers[j], n[i], n[j], how)[1]
             i, j = i[may], j[may]
-            both = _common(i, j, values, first)
+            both = _common(i, j, values, first) + np.minimum(hidden[i], hidden[j])
             link = 100 * both >= how.percent * (n[i] + n[j] - both)
             found.append((i[link], j[link], (both / (n[i] + n[j] - both))[link]))
         x, y, similar = (np.concatenate(c) for c in zip(*found))
