@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +46,47 @@ def inverse_powers(n: int) -> np.ndarray:
     return powers(_INVERSE, n)
 
 
+#: Two primes below 2^31 and a base for each: a hash of two remainders, as texts can be
+#: written whose hashes modulo 2^64 are equal whatever the base.
+PRIMES = ((2147483647, 1402024253), (2147483629, 862450871))
+
+
+def _prime_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both primes the powers of the base and of its inverse; kept by the worker."""
+    kept = sys.modules.setdefault("_llm_powers", types.ModuleType("_llm_powers")).__dict__
+    if len(kept.get("tables", [[[]]])[0][0]) < n:
+        size, tables = max(n, 1 << 20), []
+        for prime, base in PRIMES:
+            both = []
+            for b in (base, pow(base, -1, prime)):
+                out = np.ones(size, dtype=np.uint64)
+                filled = 1
+                while filled < size:
+                    more = min(filled, size - filled)
+                    step = np.uint64(pow(b, filled, prime))
+                    out[filled : filled + more] = out[:more] * step % np.uint64(prime)
+                    filled += more
+                both.append(out)
+            tables.append(tuple(both))
+        kept["tables"] = tables
+    return [(up[:n], down[:n]) for up, down in kept["tables"]]
+
+
+def content_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 62-bit hash of each of the byte ranges, mixed to 64 bits."""
+    n = len(raw)
+    both = np.zeros(len(starts), dtype=np.uint64)
+    for (prime, _), (up, down) in zip(PRIMES, _prime_powers(n + 1)):
+        p, sums = np.uint64(prime), np.zeros(n + 1, dtype=np.uint64)
+        terms = (raw.astype(np.uint64) + np.uint64(1)) * up[:n]
+        if n > 1 << 24:  # else the sum of all terms fits into 64 bits
+            terms %= p
+        np.cumsum(terms, out=sums[1:])
+        own = (sums[stops] - sums[starts]) % p * down[starts] % p
+        both = (both << np.uint64(31)) | own
+    return mix(both)
+
+
 def row_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text, one row at least."""
     lengths = pa.compute.binary_length(texts).fill_null(0)
@@ -118,7 +161,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     begins[heads] = inside[heads]
     ends[tails] = inside[tails]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(starts, stops, np.searchsorted(starts, offsets), spans(raw, starts, stops))
+    return Words(starts, stops, np.searchsorted(starts, offsets), content_hashes(raw, starts, stops))
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

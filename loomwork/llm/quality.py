@@ -87,7 +87,7 @@ def _dup_lines(raw: np.ndarray, offsets: np.ndarray, w: kernels.Words) -> np.nda
     stops, text = stops[order], text[order]
     with_word = np.searchsorted(w.starts, stops) > np.searchsorted(w.starts, starts)
     starts, stops, text = starts[with_word], stops[with_word], text[with_word]
-    hashes = kernels.spans(raw, starts, stops)
+    hashes = kernels.content_hashes(raw, starts, stops)
     key = kernels.mix(hashes + kernels.mix(text.astype(np.uint64) + np.uint64(1)))
     _, first = np.unique(key, return_index=True)
     return np.bincount(text, minlength=n) - np.bincount(text[first], minlength=n)
