@@ -52,11 +52,49 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that ``cut_lineage`` wrote: a weak reference to what their readers share, and the path.
+_OWNED: list[tuple] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and go on from there."""
-    path = working_path(df.sparkSession, TABLE.rstrip("-"))
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    The table lives as long as any DataFrame that reads it, see ``sweep``.
+    """
+    spark = df.sparkSession
+    sweep(spark)
+    path = working_path(spark, TABLE.rstrip("-"))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _OWNED.append((_readers(table), spark.sparkContext.applicationId, path))
+    return table
+
+
+def _readers(table: DataFrame):
+    """A weak reference of the JVM to the file index that every plan over ``table`` holds."""
+    files = table._jdf.queryExecution().analyzed().relation().location()
+    return table.sparkSession._jvm.java.lang.ref.WeakReference(files)
+
+
+def sweep(spark: SparkSession) -> list[str]:
+    """Remove the working tables that no DataFrame reads any more; gives their paths.
+
+    The JVM counts the readers: all plans over a table, also those derived from it, share
+    its file index, and once its garbage collector found that unused, no query can ask for
+    the table again. Nothing is forced: a table goes with the first sweep after that, and
+    every new working table begins with one.
+    """
+    gone, app = [], spark.sparkContext.applicationId
+    for owned in list(_OWNED):
+        readers, of, path = owned
+        if of == app and not readers.refersTo(None):
+            continue
+        _OWNED.remove(owned)
+        if of == app:
+            found, system = hadoop_path(spark, path)
+            system.delete(found, True)
+            gone.append(path)
+    return gone
 
 
 def release(*tables: DataFrame) -> None:
