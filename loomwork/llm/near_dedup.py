@@ -453,6 +453,10 @@ def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
-    """The rows of ``docs`` of one document of each component, with all their columns."""
+    """The rows of ``docs`` of one document of each component, with all their columns.
+
+    A null or blank text stays, and so does every row with a null doc_id. Rows that repeat
+    a doc_id stay or go together. An empty table stays empty.
+    """
     gone = near_components(docs, how).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

@@ -443,7 +443,7 @@ def suffix_dedup(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
     """Every document with what is left of it.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. Result: doc_id,
-    n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes), kept_bytes. A null
+    n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes). A null
     text counts as empty. Strings are judged on the input and never cross texts. Rows that
     share a doc_id are one document as far as repeats go, and each loses what any of them
     loses; a null doc_id loses nothing. An empty table gives an empty result.
