@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -147,7 +147,7 @@ class Words:
     hashes: np.ndarray
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
+def words(raw: np.ndarray, offsets: np.ndarray, hashes: Callable = content_hashes) -> Words:
     n = len(raw)
     inside = np.empty(n + 1, dtype=bool)
     inside[:n] = ~_SPACE[raw]
@@ -161,7 +161,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     begins[heads] = inside[heads]
     ends[tails] = inside[tails]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(starts, stops, np.searchsorted(starts, offsets), content_hashes(raw, starts, stops))
+    return Words(starts, stops, np.searchsorted(starts, offsets), hashes(raw, starts, stops))
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

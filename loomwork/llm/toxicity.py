@@ -107,7 +107,8 @@ def first_of_copies(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     A text is a copy if a quarter of its 16 smallest hashes of five words in a row have
     occurred before; the chance words of a copied text would else look telling.
     """
-    w = kernels.words(kernels.lower(raw), offsets)
+    # the lighter hash, as all sampled texts are here at once
+    w = kernels.words(kernels.lower(raw), offsets, kernels.spans)
     windows = kernels.runs(w.hashes, 5)
     seen: set[int] = set()
     out = []
