@@ -64,7 +64,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(documents(spark, sf_dir).select("doc_id"))
+    return sharding.shard_documents(documents(spark, sf_dir)).select("doc_id", "slot", "shard")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

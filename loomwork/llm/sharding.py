@@ -15,6 +15,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.shared import working_path
+
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
 #: A prime of over 100 times the number of shards: shares differ by about 1 %.
 TABLE_SIZE = 4099
@@ -80,13 +82,35 @@ def place(
     )
 
 
-def write_shards(placed: DataFrame, path: str, files_per_shard: int = 1, shard: str = "shard") -> None:
-    """One folder per shard at ``path``, with about ``files_per_shard`` files each.
+#: Rows of a file, about.
+FILE_ROWS = 100_000
+
 
-    Rows of a shard are dealt over its files by slot and, within a slot, by a hash of the
-    whole row, so that a hot key is not one file.
+def write_shards(placed: DataFrame, path: str, file_rows: int = FILE_ROWS, shard: str = "shard") -> None:
+    """The whole rows of ``placed``, in one folder per shard below the new folder ``path``.
+
+    The rows of every shard are counted first, and dealt over as many files as they need by
+    a hash of the whole row; so a shard or key that holds a large part of all rows is many
+    tasks and files. As many counts as there are shards reach the driver. Rows shuffle once.
+    Repeated rows stay; a null shard has a folder of its own; an empty table gives none.
     """
-    n = max(1, len(SHARDS) * files_per_shard)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns]), F.lit(files_per_shard))
-    dealt = placed.repartition(n, F.col(f"`{shard}`"), salt)
+    name = F.col(f"`{shard}`")
+    files = F.ceil(F.count(F.lit(1)) / file_rows).cast("int")
+    counted = {r[0]: r[1] for r in placed.groupBy(name).agg(files).collect()}
+    known = F.create_map(*[F.lit(x) for pair in counted.items() if pair[0] is not None for x in pair])
+    most = F.coalesce(F.try_element_at(known, name) if len(counted) > (None in counted) else F.lit(None), F.lit(counted.get(None, 1)))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns]), most.cast("int"))
+    dealt = placed.repartition(max(1, sum(counted.values())), name, salt)
     dealt.write.partitionBy(shard).parquet(path)
+
+
+def read_shards(placed: DataFrame, path: str) -> DataFrame:
+    """What ``write_shards`` wrote of ``placed``, with its columns."""
+    return placed.sparkSession.read.schema(placed.schema).parquet(path).select(placed.columns)
+
+
+def shard_documents(docs: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Place ``docs``, write whole rows to the shards of a new working folder, and read them back."""
+    placed, path = place(docs), working_path(docs.sparkSession, "shards")
+    write_shards(placed, path, file_rows)
+    return read_shards(placed, path)
