@@ -78,3 +78,29 @@ def select(code: dict, i: int) -> int:
         first = np.unpackbits(high[byte : byte + 1], bitorder="little")
     place = byte * 8 + int(np.flatnonzero(first)[todo])
     return ((place - i) << width) | int(_unpacked(code["low"], width, i, 1)[0])
+
+
+def select_many(code: dict, at: np.ndarray) -> np.ndarray:
+    """The numbers at the given places, each found from the sample before it.
+
+    Ones are counted from a sample on, 256 at most; places that share a sample share the
+    scan, which ends at the sample after it.
+    """
+    n, width = int(code["n"]), int(code["width"])
+    at = np.asarray(at, dtype=np.int64)
+    out = np.zeros(len(at), dtype=np.uint64)
+    if len(at) and not (0 <= at.min() and at.max() < n):
+        raise IndexError(int(at.min()) if at.min() < 0 else int(at.max()))
+    high, samples = np.frombuffer(code["high"], np.uint8), np.frombuffer(code["samples"], "<u4").astype(np.int64)
+    block = at // SAMPLE
+    for k in np.unique(block).tolist():
+        begin = int(samples[k])
+        stop = int(samples[k + 1]) if k + 1 < len(samples) else 8 * len(high)
+        bits = np.unpackbits(high[begin // 8 : -(-stop // 8)], bitorder="little")
+        ones = np.flatnonzero(bits[begin % 8 :]) + begin
+        own = np.flatnonzero(block == k)
+        unary = ones[at[own] % SAMPLE] - at[own]
+        first = k * SAMPLE
+        low = _unpacked(code["low"], width, first, min(SAMPLE, n - first))[at[own] - first]
+        out[own] = (unary.astype(np.uint64) << np.uint64(width)) | low
+    return out

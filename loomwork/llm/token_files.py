@@ -12,7 +12,6 @@ Spark's own commit of written files makes a lost executor harmless.
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 import zlib
@@ -20,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,7 +32,11 @@ END_ID = 0
 #: A segment is closed by the first document with which it has so many ids.
 SEGMENT_IDS = 1 << 18
 #: Pieces whose ids a worker remembers.
-CACHED_PIECES = 800_000
+CACHED_PIECES = 1_200_000
+#: Bytes of text that are cut and looked up at once, or one text.
+ENCODED_SLICE = 1 << 22
+#: A space before other white space, for which pieces are not alone.
+ODD_SPACE = r" [\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\p{Z}]"
 #: Characters of new pieces that are encoded at once.
 ENCODED_AT_ONCE = 1 << 16
 
@@ -50,6 +54,9 @@ class Encoder:
     before a space with what stands behind, so the ids of the pieces, each with its space,
     are the ids of the text. Where a space is followed by more white space that does not
     hold, and the whole text is encoded at once.
+
+    The ids of all known pieces lie in one array. A batch is cut and numbered in Arrow,
+    only its distinct pieces are looked up, and its ids are taken by index.
     """
 
     def __init__(self, path: str):
@@ -66,16 +73,32 @@ class Encoder:
         for token, i in vocabulary.items():
             # the alphabet has one character for each byte, but added tokens are plain text
             self.bytes_of[i] = len(token.encode()) if token in added else len(token)
-        self.not_alone = re.compile(r" (?=\s)")
-        self.pieces: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype=self.id_type)
+        self.ends = np.zeros(1 << 16, dtype=np.int64)  # of the known pieces in ids
 
     def whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.id_type).tobytes()
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.id_type).tobytes()
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, k = len(self.places), len(pieces)
+        used = int(self.ends[n - 1]) if n else 0
+        while len(self.ids) < used + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.ends) < n + k:
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[used : used + len(ids)] = ids
+        self.ends[n : n + k] = used + np.cumsum(lengths)
+        self.places.update(zip(pieces, range(n, n + k)))
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces, many in one text, and cut the ids where the pieces end."""
-        size = int(self.id_type[-1])
+        """Encode new pieces that neither begin nor end with white space, many in one text.
+
+        The ids are cut where the pieces end.
+        """
         start = 0
         while start < len(pieces):
             end, chars = start, 0
@@ -83,43 +106,66 @@ class Encoder:
                 chars += len(pieces[end]) + 1
                 end += 1
             own = pieces[start:end]
-            ids = np.array(
-                self.library.encode_batch_fast([" " + " ".join(own)], add_special_tokens=False)[0].ids,
-                dtype=self.id_type,
-            )
-            lengths = np.fromiter((len(p.encode()) + 1 for p in own), np.int64, len(own))
-            reached = np.cumsum(self.bytes_of[ids])
-            cuts = np.searchsorted(reached, np.cumsum(lengths)) + 1
-            raw, at = ids.tobytes(), 0
-            for piece, cut in zip(own, (cuts * size).tolist()):
-                self.pieces[piece] = raw[at:cut]
-                at = cut
+            text = " " + " ".join(own)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.id_type)
+            lengths = np.fromiter(map(len, own), np.int64, len(own))
+            if not text.isascii():
+                lengths = np.fromiter((len(p.encode()) for p in own), np.int64, len(own))
+            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths + 1)) + 1
+            self._keep(own, ids, np.diff(cuts, prepend=0))
             start = end
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        cut = [None if self.not_alone.search(t) else t.split(" ") for t in texts]
-        seen: set[str] = set()
-        for parts in cut:
-            if parts:
-                seen.update(parts[1:])
-        # a piece with white space inside could end in a run that the next space belongs to
-        new = [p for p in seen if p not in self.pieces]
-        if len(self.pieces) + len(new) > CACHED_PIECES:
-            self.pieces.clear()
-            new = list(seen)
-        plain = [p for p in new if p and not p[-1].isspace() and not p[0].isspace()]
+    def learn_alone(self, keys: list[str], texts: list[str]) -> None:
+        """Encode texts one by one and keep them under the keys."""
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        lengths = np.fromiter((len(f.ids) for f in found), np.int64, len(found))
+        self._keep(keys, np.array([i for f in found for i in f.ids], self.id_type), lengths)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the n + 1 bounds of the texts in them."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        per = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.cumsum(per) - per
+        flat = pc.list_flatten(cut).dictionary_encode()
+        index, items = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary.to_pylist()
+        # a text's first piece has no space before it, and an odd text is looked up as a whole;
+        # keys with a space before them are no pieces
+        whole = texts.take(pa.array(np.flatnonzero(odd))).to_pylist()
+        heads, head_of = np.unique(index[firsts], return_inverse=True)
+        head_of = head_of.astype(np.int64)
+        alone = [items[i] for i in heads.tolist()] + whole
+        inner = np.ones(len(index), dtype=bool)
+        inner[firsts] = False
+        used = np.unique(index[inner])
+        pieces = [items[i] for i in used.tolist()]
+        new = [p for p in pieces if p not in self.places]
+        if len(self.places) + len(new) + len(alone) > CACHED_PIECES:
+            self.forget()
+            new = pieces
+        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         self.learn(plain)
-        for p in set(new).difference(plain):
-            self.pieces[p] = self.whole(" " + p)
-        get = self.pieces.__getitem__
-        out = []
-        for text, parts in zip(texts, cut):
-            if parts is None:
-                out.append(self.whole(text))
-            else:
-                out.append(self.whole(parts[0]) + b"".join(map(get, parts[1:])))
-        return out
+        if len(plain) < len(new):  # with white space at an end, which a next space could belong to
+            rest = [p for p in new if p not in self.places]
+            self.learn_alone(rest, [" " + p for p in rest])
+        apart = [t for t in dict.fromkeys(alone) if " " + t not in self.places]
+        if apart:
+            self.learn_alone([" " + t for t in apart], apart)
+        places = np.zeros(len(items), dtype=np.int64)
+        places[used] = [self.places[p] for p in pieces]
+        keyed = np.array([self.places[" " + t] for t in alone], dtype=np.int64)
+        at = places[index]
+        at[firsts] = keyed[head_of]
+        at[firsts[odd]] = keyed[len(heads) :]
+        ends = self.ends[at]
+        starts = np.where(at > 0, self.ends[at - 1], 0)
+        lengths = ends - starts
+        reached = np.concatenate([[0], np.cumsum(lengths)])
+        inside = np.arange(reached[-1]) + np.repeat(starts - reached[:-1], lengths)
+        return self.ids[inside], reached[np.concatenate([[0], np.cumsum(per)])]
 
 
 def _encoder(path: str) -> Encoder:
@@ -184,11 +230,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         segment = _Segment()
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
-            for start, stop in row_slices(texts, 1 << 21):
-                own = [t or "" for t in texts.slice(start, stop - start).to_pylist()]
+            for start, stop in row_slices(texts, ENCODED_SLICE):
+                raw, bounds = encoder.encode(texts.slice(start, stop - start))
                 ids = doc_ids.slice(start, stop - start).to_pylist()
-                for doc_id, raw in zip(ids, encoder.encode(own)):
-                    segment.add(doc_id, raw + end, len(raw) // size + 1)
+                for doc_id, a, b in zip(ids, bounds.tolist(), bounds[1:].tolist()):
+                    segment.add(doc_id, raw[a:b].tobytes() + end, b - a + 1)
                     if segment.n_ids >= SEGMENT_IDS:
                         yield pa.RecordBatch.from_pylist([segment.row(part, number, size)], schema)
                         segment, number = _Segment(), number + 1
@@ -204,10 +250,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
 
 def documents_of(segment: dict) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """A segment's doc_ids, the ends of its documents, and its ids."""
-    docs = elias_fano.decode(segment["docs"])
-    ids = [int(d) + segment["first_doc"] for d in docs.tolist()]
-    ends = elias_fano.decode(segment["ends"]).astype(np.int64)
+    """A segment's doc_ids, the ends of its documents, and its ids; all by select."""
+    given, n_docs = segment["docs"], segment["n_docs"]
+    ids = [int(d) + segment["first_doc"] for d in elias_fano.select_many(given, np.arange(given["n"])).tolist()]
+    ends = elias_fano.select_many(segment["ends"], np.arange(n_docs)).astype(np.int64)
     return [None] * segment["n_null"] + ids, ends, np.frombuffer(segment["ids"], f"<u{segment['id_bytes']}")
 
 

@@ -75,10 +75,19 @@ def test_bad_tables(shards, size):
 
 
 def test_written_shards(spark, tmp_path):
-    placed = sharding.place(spark.range(500).withColumnRenamed("id", "doc_id"))
-    sharding.write_shards(placed, str(tmp_path / "out"), 2)
-    back = spark.read.parquet(str(tmp_path / "out"))
-    assert {(r.doc_id, r.shard) for r in back.collect()} == {(r.doc_id, r.shard) for r in placed.collect()}
+    rows = [(i if i % 3 else 7, f"text {i}", None) for i in range(3000)] + [(None, None, "x")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard string").repartition(5)
+    placed = sharding.place(docs)
+    sharding.write_shards(placed, str(tmp_path / "out"), 100)
+    back = sharding.read_shards(placed, str(tmp_path / "out"))
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert back.columns == placed.columns
+    assert sorted(back.collect(), key=key) == sorted(placed.collect(), key=key)
+    # a third of all rows have one key, and its shard has many files
+    hot = placed.where("doc_id = 7").first().shard
+    assert len(list((tmp_path / "out" / f"shard={hot}").glob("part-*"))) >= 5
+    again = sharding.shard_documents(docs.where("false"))
+    assert again.columns == placed.columns and again.collect() == []
 
 
 # packing
@@ -132,6 +141,10 @@ def test_elias_fano_round_trip(values):
     code = elias_fano.encode(np.array(values, dtype=np.uint64))
     assert elias_fano.decode(code).tolist() == values
     assert [elias_fano.select(code, i) for i in range(0, len(values), 37)] == values[::37]
+    at = np.arange(len(values))[::-3]
+    assert elias_fano.select_many(code, at).tolist() == [values[i] for i in at]
+    with pytest.raises(IndexError):
+        elias_fano.select_many(code, np.array([len(values)]))
 
 
 def test_elias_fano_is_small():
@@ -147,7 +160,9 @@ def test_elias_fano_is_small():
 @settings(max_examples=500, deadline=None)
 def test_pieces_encode_as_the_whole_text(text):
     encoder = token_files._encoder(TOKENIZER)
-    assert encoder.encode([text]) == [encoder.whole(text)]
+    raw, bounds = encoder.encode(pa.array([text, "", text]))
+    own = encoder.whole(text)
+    assert raw.tobytes() == own + own and bounds.tolist() == [0, *[len(own) // 2] * 2, len(own)]
 
 
 def test_token_files_round_trip(spark, tmp_path):
@@ -484,3 +499,47 @@ def test_words(texts):
         by_word[bytes(raw[w.starts[j] : w.ends[j]])].add(int(w.hashes[j]))
     assert all(len(h) == 1 for h in by_word.values())
     assert len({min(h) for h in by_word.values()}) == len(by_word)
+
+
+# words whose polynomials modulo 2^64 are equal
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_with_equal_polynomials_are_told_apart(spark):
+    one = _thue_morse(2048)
+    two = one.translate(str.maketrans("ab", "ba"))
+    found = near_dedup.near_components(docs_of(spark, [one, two]), near_dedup.Sketching(words=2, percent=80))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1}
+    lines = f"{one}\n{two}\n{one}"
+    many = " ".join([one, *"bcdefgh", two, *"bcdefgh"])
+    counts = {r.doc_id: r for r in quality.quality(docs_of(spark, [f"{one}\n{two}", lines, many])).collect()}
+    assert [counts[i].n_dup_lines for i in range(3)] == [0, 1, 0]
+    assert [counts[i].n_repeat_words for i in range(3)] == [0, 0, 0]
+
+
+def test_content_hashes_tell_ranges_apart():
+    raw = np.frombuffer(b"abcabc\x00\x00abd", np.uint8)
+    starts, stops = np.array([0, 3, 0, 6, 7, 8, 0]), np.array([3, 6, 2, 8, 8, 11, 0])
+    found = kernels.content_hashes(raw, starts, stops)
+    assert found[0] == found[1] and len(set(found.tolist())) == 6
+    long = np.frombuffer(random.Random(1).randbytes(1 << 12) * 2, np.uint8)
+    twice = kernels.content_hashes(long, np.array([0, 1 << 12]), np.array([1 << 12, 1 << 13]))
+    assert twice[0] == twice[1]
+
+
+def test_short_hashes_lose_no_link(spark, monkeypatch):
+    """Sets of one-byte hashes have many equal ones; what they hide is allowed for."""
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(6):
+        base = [draw.choice(words) for _ in range(120)]
+        for cut in range(4):
+            texts.append(" ".join(base[cut * 4 :]))
+    how = near_dedup.Sketching(words=2, percent=80)
+    whole = {r.doc_id: r.component_id for r in near_dedup.near_components(docs_of(spark, texts), how).collect()}
+    monkeypatch.setattr(near_dedup, "HASH_BYTES", 1)
+    assert {r.doc_id: r.component_id for r in near_dedup.near_components(docs_of(spark, texts), how).collect()} == whole
