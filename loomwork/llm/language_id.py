@@ -3,8 +3,10 @@
 A text is the mean of the embeddings of its byte 2-, 3- and 4-grams, hashed to a fixed
 number of rows. Embeddings and softmax are trained together by stochastic gradient
 descent in NumPy, on a bounded sample. Scores are calibrated by a temperature on sampled
-documents that the training has not seen, and the limit under which a document is
-rejected comes from their scores.
+documents that the training has not seen, and the limits beyond which a document is
+rejected come from them too: a score too low, or too large a share of byte trigrams that
+occur nowhere in training, as of a language or script that was not learned. The second
+holds for any number of languages; a score cannot tell what none of them is.
 """
 
 from __future__ import annotations
@@ -40,6 +42,12 @@ class Training:
     reject_share: float = 0.001
     #: … and no document with a score from here on.
     reject_most: float = 0.4
+    #: Nor is a document for its new trigrams, if they are less than this share …
+    unseen_least: float = 0.5
+    #: … of all and so many more, which lets short texts off.
+    unseen_spare: int = 8
+    #: Fewer calibration documents do not show what share is usual, and set no limit to it.
+    unseen_documents: int = 20
     seed: int = 42
 
 
@@ -51,11 +59,39 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     reject: float
+    #: One bit for each of the 2^24 byte trigrams: whether the training has it.
+    seen: np.ndarray
+    unseen_most: float = 1.0
+    unseen_spare: int = 0
 
 
 GRAMS = (2, 3, 4)
 
 
+def trigrams(raw: np.ndarray) -> np.ndarray:
+    """The number of the lower-cased byte trigram that begins at each byte."""
+    low = kernels.lower(raw).astype(np.uint32)
+    return (low[:-2] << np.uint32(16)) | (low[1:-1] << np.uint32(8)) | low[2:]
+
+
+def seen_trigrams(texts: list[str]) -> np.ndarray:
+    seen = np.zeros(1 << 24, dtype=bool)
+    for text in texts:
+        seen[trigrams(np.frombuffer(text.encode(), np.uint8))] = True
+    return np.packbits(seen, bitorder="little")
+
+
+def unseen_shares(raw: np.ndarray, offsets: np.ndarray, seen: np.ndarray, spare: int) -> np.ndarray:
+    """Of each text's trigrams and ``spare`` more, the share that is not in ``seen``."""
+    codes = trigrams(raw)
+    new = (seen[codes >> np.uint32(3)] >> (codes & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 0
+    reached = np.concatenate([[0], np.cumsum(new), [0, 0]])
+    last = np.maximum(offsets[1:] - 2, offsets[:-1])
+    some = last > offsets[:-1]
+    count = np.where(some, reached[last] - reached[offsets[:-1]], 0)
+    return count / np.maximum(last - offsets[:-1] + spare, 1)
+
+
 def grams(raw: np.ndarray, buckets: int) -> list[np.ndarray]:
     """The bucket of the n-gram that begins at each byte, for each n."""
     low = kernels.lower(raw).astype(np.uint32)
@@ -140,7 +176,15 @@ def train(texts: list[str], labels: list[str], how: Training = Training()) -> La
             bias -= rate / 8 * error.sum(axis=0)
             np.subtract.at(embedding, ids, rate * 8 * share[:, None] * to_mean[row])
             step += 1
-    model = LanguageModel(languages, (embedding @ weights).astype(np.float32), bias, 1.0, 0.0)
+    model = LanguageModel(
+        languages,
+        (embedding @ weights).astype(np.float32),
+        bias,
+        temperature=1.0,
+        reject=0.0,
+        seen=seen_trigrams([texts[i] for i in learnt]),
+        unseen_spare=how.unseen_spare,
+    )
     held = np.flatnonzero(own) if own.any() else np.arange(len(texts))
     raw, offsets = kernels.text_bytes(pa.array([texts[i] for i in held]))
     values = logits(raw, offsets, model.table, bias)
@@ -152,9 +196,15 @@ def train(texts: list[str], labels: list[str], how: Training = Training()) -> La
 
     model.temperature = min(np.geomspace(0.05, 20, 121), key=loss)
     scores = softmax(values / model.temperature)
-    good = scores.max(axis=1)[scores.argmax(axis=1) == right]
+    found = scores.argmax(axis=1) == right
+    good = scores.max(axis=1)[found]
     limit = float(np.quantile(good, how.reject_share)) if len(good) else 0.0
     model.reject = min(limit, how.reject_most)
+    shares = unseen_shares(raw, offsets, model.seen, how.unseen_spare)[found]
+    usual = 1.0
+    if own.any() and len(shares) >= how.unseen_documents:
+        usual = float(np.quantile(shares, 1 - how.reject_share))
+    model.unseen_most = max(usual, how.unseen_least)
     return model
 
 
@@ -174,7 +224,8 @@ def prediction_kernel(model: LanguageModel | None):
         p = softmax(logits(raw, offsets, model.table, model.bias) / model.temperature)
         score = np.where(letters, p.max(axis=1), 0.0)
         names = np.array(model.languages, dtype=object)[p.argmax(axis=1)]
-        return [np.where(letters, names, UNKNOWN), score, ~letters | (score < model.reject)]
+        strange = unseen_shares(raw, offsets, model.seen, model.unseen_spare) > model.unseen_most
+        return [np.where(letters, names, UNKNOWN), score, ~letters | (score < model.reject) | strange]
 
     return kernel
 
@@ -184,7 +235,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     A null text, and one without any letter, is ``und`` with score 0 and rejected, as is
     every text without a model. Other texts get the likeliest language; they are rejected
-    if its probability is under the model's limit.
+    if its probability is under the model's limit, or if too many of their trigrams are new.
     """
     fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
     return map_texts(docs, prediction_kernel(model), fields, slice_bytes=1 << 20)

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from loomwork.llm import language_id, near_dedup, oracle, queries, toxicity
+from loomwork.llm import language_id, oracle, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,6 +116,13 @@ def stages(spark):
     return out
 
 
+def shingles(text, k):
+    """Distinct runs of k words, lower-cased in A-Z; the whole sequence where it is shorter."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\\x20\\x09-\\x0D]+", lowered)
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
 def test_pipeline_against_brute_force(stages):
     start, known, exact, near, mixed, packed = [d.collect() for d in stages]
     assert {r.doc_id for r in known} == {r.doc_id for r in start if any(c.isalpha() for c in r.text or "")}
@@ -124,7 +131,7 @@ def test_pipeline_against_brute_force(stages):
         last[r.text] = max(last.get(r.text, -1), r.doc_id)
     assert {r.doc_id for r in exact} == set(last.values())
     ordered = sorted(exact, key=lambda r: r.doc_id)
-    sets = [near_dedup._exact_set(r.text, 5) for r in ordered]
+    sets = [shingles(r.text, 5) for r in ordered]
     parent = list(range(len(ordered)))
     for i in range(len(ordered)):
         for j in range(i):
@@ -165,7 +172,24 @@ def _language_of(model, text):
     if not any(c.isalpha() for c in text or ""):
         return "und", 0.0, True
     score = max(parts) / sum(parts)
-    return model.languages[parts.index(max(parts))], score, score < model.reject
+    codes = [int.from_bytes(raw[i : i + 3], "big") for i in range(len(raw) - 2)]
+    unseen = sum(not model.seen[c // 8] >> c % 8 & 1 for c in codes)
+    strange = unseen > model.unseen_most * (len(codes) + model.unseen_spare)
+    return model.languages[parts.index(max(parts))], score, score < model.reject or strange
+
+
+def test_what_was_not_learned_is_rejected(spark):
+    draw = random.Random(22)
+    rows = [(i, prose(draw, lang, 25), lang) for i, lang in enumerate(["xx", "yy"] * 100)]
+    noise = "".join(draw.choices("bcdfghjklmnpqrstvwxz ", k=200))
+    other = ["эта запись на другом языке и её никто не учил", noise, "これは別の言語の文章です"]
+    usual = ["ka", "été çon", "éau", "12 ka 345", prose(draw, "xx", 400), prose(draw, "yy", 2)]
+    rows += [(500 + i, t, None) for i, t in enumerate(usual)] + [(600 + i, t, None) for i, t in enumerate(other)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in language_id.language_id(docs).collect()}
+    assert all(found[600 + i].rejected for i in range(len(other)))
+    assert not any(r.rejected for i, r in found.items() if i < 600)
+    assert all(r.lang_pred in ("xx", "yy") for r in found.values())
 
 
 def test_language_against_brute_force(spark):
