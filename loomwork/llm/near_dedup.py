@@ -14,15 +14,16 @@ to be connected need no comparison. Two rounds find them without listing a group
 2. In buckets that still hold several components, all pairs across components are compared
    where their sketches and sets of 64-bit hashes lie, each pair in the first bucket that
    it shares. Of the links found only the best few of a document to each other component
-   come out and are confirmed on words. After that no candidate link between components is
-   missing.
+   come out and are confirmed on words. Should words refuse any, the round is repeated with
+   so many more links that the refused ones leave none out. After that no candidate link
+   between components is missing.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,8 @@ class Sketching:
     #: Log likelihood by which the threshold must fall behind to rule a pair out: at 18, one
     #: in a billion pairs at the threshold.
     margin: float = 18.0
-    #: Links of a document to another component that a bucket of round 2 gives; one would do.
+    #: Links of a document to another component that a bucket of round 2 gives; one would do,
+    #: and there are more when words have refused some.
     partners: int = 2
     #: Documents of a bucket that one task compares with as many others.
     block: int = 1024
@@ -389,6 +391,17 @@ def _cross_links(members: DataFrame, how: Sketching) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _several(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with their components, of the buckets that hold several."""
+    labelled = members.join(found, "doc_id", "left").select(
+        "bucket", "band", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
+    )
+    spans = labelled.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    return cut_lineage(labelled.join(spans.where("least <> most").select("bucket"), "bucket"))
+
+
 def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
     """Every document with its component of near duplicates.
 
@@ -425,21 +438,26 @@ def near_components(docs: DataFrame, how: Sketching = Sketching()) -> DataFrame:
     pairs = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
     links = cut_lineage(_confirmed(_likely(pairs.distinct(), sets, how), texts, how))
     found = components(links)
-    labelled = members.join(found, "doc_id", "left").select(
-        "bucket", "band", "doc_id", F.coalesce("component_id", "doc_id").alias("component")
-    )
-    spans = labelled.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    several = cut_lineage(labelled.join(spans.where("least <> most").select("bucket"), "bucket"))
-    hashed = _hash_sets(
-        texts.join(several.select("doc_id").distinct(), "doc_id", "left_semi"), how
-    )
-    crossing = cut_lineage(_cross_links(several.join(sets.join(hashed, "doc_id"), "doc_id"), how))
-    if not crossing.isEmpty():
+    refused, how_many = None, how
+    while True:
+        several = _several(members, found)
+        hashed = _hash_sets(texts.join(several.select("doc_id").distinct(), "doc_id", "left_semi"), how)
+        crossing = _cross_links(several.join(sets.join(hashed, "doc_id"), "doc_id"), how_many)
+        if refused is not None:
+            crossing = crossing.join(refused, ["a", "b"], "left_anti")
+        crossing = cut_lineage(crossing)
+        wanted = crossing.count()
+        if wanted == 0:
+            break
         fresh = cut_lineage(_confirmed(crossing, texts, how))
         stars = found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
         found = components(stars.unionByName(fresh))
+        if fresh.count() == wanted:
+            break
+        # equal hashes of different words: what was refused may have taken the place of true links
+        missed = crossing.join(fresh, ["a", "b"], "left_anti")
+        refused = cut_lineage(missed if refused is None else missed.unionByName(refused))
+        how_many = replace(how, partners=how.partners + refused.count())
     named = classes.join(found, "doc_id", "left").select(
         "digest", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import random
+import re
 import string
 import zlib
 
@@ -308,6 +309,34 @@ def link_components(sets, percent=80):
     return [root(i) for i in range(len(sets))]
 
 
+def shingles(text, k):
+    """Distinct runs of k words, lower-cased in A-Z; the whole sequence where it is shorter."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\\x20\\x09-\\x0D]+", lowered)
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def test_refused_links_hide_no_others(spark, monkeypatch):
+    """Of six links between two components the words refuse all but one; it is found all the same."""
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(base[:i] + ["own%d" % i] + base[i + 1 :]) for i in range(0, 24, 4)]
+    texts.append(" ".join(base[:40] + ["last"] + base[41:]))
+    last, confirmed, asked = len(texts) - 1, near_dedup._confirmed, []
+
+    def stricter(pairs, *rest):
+        asked.append(pairs.count())
+        return confirmed(pairs, *rest).where(f"b <> {last} OR a = {last - 1}")
+
+    how = near_dedup.Sketching(words=2, partners=1)
+    docs = docs_of(spark, texts)
+    assert {r.component_id for r in near_dedup.near_components(docs, how).collect()} == {0}
+    monkeypatch.setattr(near_dedup, "_confirmed", stricter)
+    rows = {r.doc_id: r.component_id for r in near_dedup.near_components(docs, how).collect()}
+    assert rows == dict.fromkeys(range(len(texts)), 0)
+    assert len(asked) > 1
+
+
+
 @pytest.mark.parametrize("words, block", [(2, 1024), (5, 4)])
 def test_near_components(spark, words, block):
     draw = random.Random(7)
@@ -322,7 +351,7 @@ def test_near_components(spark, words, block):
     texts += ["A b", "a  B", "a", "", None, "c d e"] + texts[:20]
     how = near_dedup.Sketching(words=words, block=block)
     rows = {r.doc_id: r for r in near_dedup.near_components(docs_of(spark, texts), how).collect()}
-    sets = [near_dedup._exact_set(t or "", words) for t in texts]
+    sets = [shingles(t, words) for t in texts]
     wanted = link_components(sets)
     assert [rows[i].n_shingles for i in range(len(texts))] == list(map(len, sets))
     assert [rows[i].component_id for i in range(len(texts))] == wanted
