@@ -12,10 +12,12 @@ Spark's own commit of written files makes a lost executor harmless.
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +55,11 @@ class Encoder:
     A text is cut at single spaces. Byte-level pre-tokenisation never joins what stands
     before a space with what stands behind, so the ids of the pieces, each with its space,
     are the ids of the text. Where a space is followed by more white space that does not
-    hold, and the whole text is encoded at once.
+    hold, and the whole text is encoded at once. Nor does it join a letter or digit with
+    punctuation behind it, so a piece is its stem and the punctuation at its end, and stems
+    are what is remembered.
 
-    The ids of all known pieces lie in one array. A batch is cut and numbered in Arrow,
+    The ids of all known stems lie in one array. A batch is cut and numbered in Arrow,
     only its distinct pieces are looked up, and its ids are taken by index.
     """
 
@@ -73,6 +77,8 @@ class Encoder:
         for token, i in vocabulary.items():
             # the alphabet has one character for each byte, but added tokens are plain text
             self.bytes_of[i] = len(token.encode()) if token in added else len(token)
+        # an added token may join letters with punctuation, but not if its end is left alone
+        self.tails = "".join(c for c in string.punctuation if not any(t.endswith(c) for t in added))
         self.forget()
 
     def forget(self) -> None:
@@ -108,9 +114,7 @@ class Encoder:
             own = pieces[start:end]
             text = " " + " ".join(own)
             ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.id_type)
-            lengths = np.fromiter(map(len, own), np.int64, len(own))
-            if not text.isascii():
-                lengths = np.fromiter((len(p.encode()) for p in own), np.int64, len(own))
+            lengths = pc.binary_length(pa.array(own, pa.string())).to_numpy().astype(np.int64)
             cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths + 1)) + 1
             self._keep(own, ids, np.diff(cuts, prepend=0))
             start = end
@@ -136,36 +140,67 @@ class Encoder:
         # keys with a space before them are no pieces
         whole = texts.take(pa.array(np.flatnonzero(odd))).to_pylist()
         heads, head_of = np.unique(index[firsts], return_inverse=True)
-        head_of = head_of.astype(np.int64)
         alone = [items[i] for i in heads.tolist()] + whole
         inner = np.ones(len(index), dtype=bool)
         inner[firsts] = False
-        used = np.unique(index[inner])
-        pieces = [items[i] for i in used.tolist()]
-        new = [p for p in pieces if p not in self.places]
-        if len(self.places) + len(new) + len(alone) > CACHED_PIECES:
+        used = np.zeros(len(items), dtype=bool)
+        used[index[inner]] = True
+        used = np.flatnonzero(used)
+        stems, tails = self._stems([items[i] for i in used.tolist()])
+        places = self._places(stems, alone + tails)
+        # the batch's own table: an entry is a stem and its tail, or what stands alone and nothing
+        entries = np.full((len(used) + len(alone), 2), self.places[" "])
+        entries[: len(used), 0] = places[: len(used)]
+        entries[: len(used), 1] = places[len(used) + len(alone) :]
+        entries[len(used) :, 0] = places[len(used) : len(used) + len(alone)]
+        ids, bounds = _taken(self.ids, self.ends, entries.ravel())
+        at = np.zeros(len(items), dtype=np.int64)
+        at[used] = np.arange(len(used))
+        at = at[index]
+        at[firsts] = len(used) + head_of
+        at[firsts[odd]] = len(used) + len(heads) + np.arange(len(whole))
+        found, reached = _taken(ids, bounds[2::2], at)
+        return found, reached[np.concatenate([[0], np.cumsum(per)])]
+
+    def _stems(self, pieces: list[str]) -> tuple[list[str], list[str]]:
+        """Each piece up to the punctuation at its end, and that punctuation.
+
+        Only behind a letter or digit, as elsewhere it may be one token with what is before.
+        """
+        stems = [p.rstrip(self.tails) for p in pieces]
+        stems = [s if s[-1:].isalnum() else p for s, p in zip(stems, pieces)]
+        return stems, [p[len(s) :] for s, p in zip(stems, pieces)]
+
+    def _places(self, stems: list[str], alone: list[str]) -> np.ndarray:
+        """Where all stems, and then all texts with no space before them, are known; learns new ones."""
+        distinct = list(dict.fromkeys([*alone, ""]))
+        known = np.fromiter(map(self.places.get, stems, repeat(-1)), np.int64, len(stems))
+        new = list(dict.fromkeys(stems[i] for i in np.flatnonzero(known < 0).tolist()))
+        if len(self.places) + len(new) + len(distinct) > CACHED_PIECES:
             self.forget()
-            new = pieces
-        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+            known[:] = -1
+            new = list(dict.fromkeys(stems))
+        plain = [p for p in new if p and p.strip() == p]
         self.learn(plain)
         if len(plain) < len(new):  # with white space at an end, which a next space could belong to
             rest = [p for p in new if p not in self.places]
             self.learn_alone(rest, [" " + p for p in rest])
-        apart = [t for t in dict.fromkeys(alone) if " " + t not in self.places]
+        apart = [t for t in distinct if " " + t not in self.places]
         if apart:
             self.learn_alone([" " + t for t in apart], apart)
-        places = np.zeros(len(items), dtype=np.int64)
-        places[used] = [self.places[p] for p in pieces]
-        keyed = np.array([self.places[" " + t] for t in alone], dtype=np.int64)
-        at = places[index]
-        at[firsts] = keyed[head_of]
-        at[firsts[odd]] = keyed[len(heads) :]
-        ends = self.ends[at]
-        starts = np.where(at > 0, self.ends[at - 1], 0)
-        lengths = ends - starts
-        reached = np.concatenate([[0], np.cumsum(lengths)])
-        inside = np.arange(reached[-1]) + np.repeat(starts - reached[:-1], lengths)
-        return self.ids[inside], reached[np.concatenate([[0], np.cumsum(per)])]
+        missing = np.flatnonzero(known < 0).tolist()
+        known[missing] = [self.places[stems[i]] for i in missing]
+        place = {t: self.places[" " + t] for t in distinct}
+        return np.concatenate([known, np.fromiter(map(place.get, alone), np.int64, len(alone))])
+
+
+def _taken(ids: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries ``at``, one after the other, and the n + 1 bounds of the entries in them."""
+    starts = np.where(at > 0, ends[at - 1], 0)
+    lengths = ends[at] - starts
+    reached = np.concatenate([[0], np.cumsum(lengths)])
+    inside = np.arange(reached[-1]) + np.repeat(starts - reached[:-1], lengths)
+    return ids[inside], reached
 
 
 def _encoder(path: str) -> Encoder:
