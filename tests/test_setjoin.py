@@ -95,3 +95,15 @@ def test_weights_of_zero_are_left_out(spark):
     shingled = frame(spark, {1: {"x", "y"}, 2: {"x"}})
     rows = weighted.weighted_shingles(shingled, similarity.idf(shingled)).collect()
     assert [(r.doc_id, r.shingle) for r in rows] == [(1, "y")]
+
+
+def test_no_shuffle_of_the_prefixes_carries_shingles(spark):
+    classes = setjoin.set_classes(frame(spark, sets_of(7)))
+    heads = classes.where("doc_id = set_id").select("set_id", "shingles")
+    plan = setjoin._places(heads, 80)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("RepartitionByExpression") :].splitlines()
+    assert "mapinarrow" in dealt[1].lower()
+    # sets that are alike in nothing have no place, however many hashes they have
+    alone = frame(spark, {i: {f"{i}-{j}" for j in range(30)} for i in range(20)})
+    own = setjoin.set_classes(alone).select("set_id", "shingles")
+    assert setjoin._places(own, 80).count() == 0
