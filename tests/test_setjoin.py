@@ -1,11 +1,14 @@
 """Set-similarity join and weighted MinHash against plain Python."""
 
+import hashlib
 import itertools
 import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from loomwork.functions.text import PRIME
 from loomwork.operators import setjoin, similarity, weighted
 
 
@@ -91,6 +94,33 @@ def test_different_weights_of_one_shingle(spark):
     assert abs(row.similarity - 3 / 5) <= 3 * math.sqrt(0.24 / 2000)
 
 
+def test_samples_are_drawn_once_and_a_document_at_a_time(spark, monkeypatch):
+    draw = random.Random(8)
+    rows = [(i, f"w{draw.randrange(400)}-{j}", draw.choice([0.5, 1.0, 4.0])) for i in (1, 2, 3, None) for j in range(60)]
+    table = spark.createDataFrame(rows, "doc_id int, shingle string, weight double")
+    samples = weighted.weighted_minhash(table, 8)
+    plan = samples.select("doc_id", F.posexplode("samples"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    # a filter on the samples does not draw them again, and no row holds a document's shingles
+    assert plan.count("mapinarrow") + plan.count("evalpython") == 1 and "collect_list" not in plan
+    whole = {r.doc_id: r.samples for r in samples.collect()}
+    assert set(whole) == {1, 2, 3, None}
+    # documents that pass in several batches
+    monkeypatch.setattr(weighted, "KERNEL_ROWS", 7)
+    assert {r.doc_id: r.samples for r in weighted.weighted_minhash(table, 8).collect()} == whole
+    for i, own in whole.items():
+        expected = []
+        for maps in weighted.sampling_parameters(8, 42):
+            scored = []
+            for _, shingle, weight in (r for r in rows if r[0] == i):
+                digest = hashlib.md5(shingle.encode()).digest()
+                u = [((a * int.from_bytes(digest[3 * j : 3 * j + 3]) + b) % PRIME + 0.5) / PRIME for j, (a, b) in enumerate(maps)]
+                r, c = -math.log(u[0] * u[1]), -math.log(u[2] * u[3])
+                t = math.floor(math.log(weight) / r + u[4])
+                scored.append((math.log(c) - r * (t - u[4]) - r, shingle, t))
+            expected.append(min(scored)[1:])
+        assert [(s.shingle, s.t) for s in own] == expected
+
+
 def test_weights_of_zero_are_left_out(spark):
     shingled = frame(spark, {1: {"x", "y"}, 2: {"x"}})
     rows = weighted.weighted_shingles(shingled, similarity.idf(shingled)).collect()
