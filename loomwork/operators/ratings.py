@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.skew import SALT_ROWS, attach, typed
+from loomwork.shared import cut_lineage
 
 AXES = {"user": ("user_id", "item_id"), "item": ("item_id", "user_id")}
 
@@ -56,16 +57,24 @@ def user_genre_means(ratings: DataFrame, items: DataFrame, explode: bool = False
     return _ranked(means, "score", "user_id", "genre")
 
 
-def center(ratings: DataFrame, by: str, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """Ratings less the mean of their user (``by="user"``) or item; a null rating is 0."""
+def _known(ratings: DataFrame) -> DataFrame:
+    return ratings.select("user_id", "item_id", "rating").dropna(subset=["user_id", "item_id"])
+
+
+def _less_mean(rows: DataFrame, known: DataFrame, by: str, salt_rows: int) -> DataFrame:
+    """``rows`` with ``centered``: the rating less the mean of its user's or item's ``known`` ones."""
     axis, other = AXES[by]
-    known = ratings.select("user_id", "item_id", "rating").dropna(subset=["user_id", "item_id"])
     means = known.groupBy(axis).agg(
         F.avg("rating").alias("_mean"), F.count(F.lit(1)).alias("_rows")
     )
-    rows = attach(known, means, [axis], [other], rows="_rows", salt_rows=salt_rows)
-    centered = F.coalesce(F.col("rating") - F.col("_mean"), F.lit(0.0))
-    return rows.select("user_id", "item_id", centered.alias("centered"))
+    joined = attach(rows, means, [axis], [other], rows="_rows", salt_rows=salt_rows)
+    return joined.withColumn("centered", F.coalesce(F.col("rating") - F.col("_mean"), F.lit(0.0)))
+
+
+def center(ratings: DataFrame, by: str, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """Ratings less the mean of their user (``by="user"``) or item; a null rating is 0."""
+    known = _known(ratings)
+    return _less_mean(known, known, by, salt_rows).select("user_id", "item_id", "centered")
 
 
 def _similarity(ratings: DataFrame, by: str, target) -> DataFrame:
@@ -124,19 +133,16 @@ def recommend_user_based(
 ) -> DataFrame:
     """The ``k`` unseen items with the best deviation, weighted by user similarity.
 
-    Similarities come from user-centred ratings and weigh item-centred ones.
+    Similarities come from user-centred ratings and weigh item-centred ones. Only the
+    ratings of users with something in common are centred; the means are of all.
     """
-    sims = _similarity(ratings, "user", user)
+    # read for the similarities, the means, the counts and the scores
+    ratings = cut_lineage(ratings.select("user_id", "item_id", "rating"))
+    known, sims = _known(ratings), _similarity(ratings, "user", user)
     per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
+    weighed = attach(known, sims, ["user_id"], ["item_id"], counts=per_user, salt_rows=salt_rows)
     scores = (
-        attach(
-            center(ratings, "item", salt_rows),
-            sims,
-            ["user_id"],
-            ["item_id"],
-            counts=per_user,
-            salt_rows=salt_rows,
-        )
+        _less_mean(weighed, known, "item", salt_rows)
         .groupBy("item_id")
         .agg(
             F.try_divide(

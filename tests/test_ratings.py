@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomwork.operators import ratings as ops
 
@@ -161,3 +162,11 @@ def test_more_hot_keys_than_a_fixed_list(spark):
     assert hot_keys(counts, ["k"], "count", 3).count() == 1500
     joined = attach(rows, counts, ["k"], ["v"], salt_rows=3)
     assert joined.count() == 6000 and joined.where("count <> 4").count() == 0
+
+
+def test_ratings_are_made_once_for_user_based_recommendations(spark, rows):
+    derived = make(spark, rows).groupBy("user_id", "item_id").agg(F.max("rating").alias("rating"))
+    found = ops.recommend_user_based(derived, 2, k=50)
+    assert "max(rating" not in found._jdf.queryExecution().optimizedPlan().toString()
+    wanted = user_based(rows, 2)
+    assert {r.item_id: r.score for r in found.collect()} == {i: x if x is None else pytest.approx(x) for i, x in wanted.items()}
