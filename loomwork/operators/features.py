@@ -61,9 +61,15 @@ def book_features(
     between rows of one stock or time step. ``weights`` has ``stock_id, weight``. A
     division by zero gives null.
     """
-    moved = with_momentum(lag_diff(row_features(df), LAGGED, ["stock_id"], order_by))
+    # what a row has by itself is added last, and is neither sorted nor joined
+    gap = {"bid_ask_spread": F.col("ask_price") - F.col("bid_price")}
+    moved = lag_diff(df.withColumns(gap), LAGGED, ["stock_id"], order_by)
     # from the rows as given, so that the index does not wait for the lags
-    return with_index(moved, weights, spread, salt_rows, weighted_index(df, weights))
+    indexed = with_index(moved.drop(*gap), weights, spread, salt_rows, weighted_index(df, weights))
+    found = with_momentum(row_features(indexed))
+    own = row_features(df).columns
+    added = [c for c in indexed.columns if c not in own and c not in moved.columns]
+    return found.select(*own, "imbalance_momentum", "spread_intensity", *added)
 
 
 def row_features(df: DataFrame) -> DataFrame:
@@ -97,7 +103,7 @@ def with_momentum(df: DataFrame) -> DataFrame:
             "imbalance_momentum": F.try_divide("imbalance_size_diff1", "matched_size"),
             "spread_intensity": F.col("bid_ask_spread_diff1"),
         }
-    ).drop("imbalance_size_diff1", "bid_ask_spread_diff1")
+    ).drop(*[f"{c}_diff1" for c in LAGGED])
 
 
 def with_index(

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 from loomwork.operators import features
+from loomwork.operators.ordered import lag_diff
 
 COLUMNS = ["stock_id", "date_id", "time_id", "seconds_in_bucket", *features.PRICE_COLS, *features.SIZE_COLS]
 
@@ -178,3 +179,13 @@ def test_narrow_types(spark):
         "e": "float", "f": "double", "g": "bigint", "h": "string",
     }
     assert {r.a for r in narrow.collect()} == {-128, 127}
+
+
+def test_features_of_a_row_are_not_sorted(spark, monkeypatch):
+    moved = []
+    monkeypatch.setattr(features, "lag_diff", lambda df, *a: moved.append(df.columns) or lag_diff(df, *a))
+    weights = spark.createDataFrame([(0, 0.004)], "stock_id int, weight double")
+    rows = to_spark(spark, frame(40))
+    found = features.book_features(rows, weights, ["row"], ["row"])
+    assert moved == [[*rows.columns, "bid_ask_spread"]]
+    assert found.columns[len(rows.columns)] == "volume" and found.columns[-1] == "indexwapdiff"
