@@ -105,6 +105,31 @@ def test_csv_sink(spark, tmp_path):
     assert spark.read.csv(one, header=True).count() == 1
 
 
+def test_csv_files_get_packed_rows(spark, tmp_path):
+    rows = spark.range(0, 30_000, 1, 2).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") / 7).alias("a.b"),
+        F.timestamp_seconds("id").alias("at"), F.lit("x,\"y\"").alias("text"),
+    )
+    dealt = sinks._dealt(rows, 3)
+    # what is shuffled are pieces, which hold a row in less than 15 bytes
+    exchanged = dealt._jdf.queryExecution().executedPlan().toString().split("Exchange RoundRobin")[1]
+    assert "piece" in exchanged.splitlines()[1]
+    assert sum(len(p) for (p,) in sinks._packed(rows, 3).collect()) < 15 * 30_000
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    sizes = [len(p) for p in dealt.rdd.glom().collect()]
+    # a task's last pieces are smaller, and any file may get them
+    assert sum(sizes) == 30_000 and max(sizes) - min(sizes) <= 4 * 3334 // 3
+    for files in (3, 8):
+        path = str(tmp_path / str(files))
+        sinks.write_csv(rows.limit(10), path, files=files)
+        assert len(spark.read.csv(path, header=True).inputFiles()) == files
+        assert spark.read.csv(path, header=True).count() == 10
+    sinks.write_csv(rows.limit(0), str(tmp_path / "none"), files=3)
+    assert spark.read.csv(str(tmp_path / "none"), schema="id long", header=True).count() == 0
+    months = spark.sql("SELECT INTERVAL '3' MONTH AS m")
+    assert sinks._dealt(months, 3).count() == 1
+
+
 def test_kept_computes_once(spark, tmp_path):
     calls = []
 
