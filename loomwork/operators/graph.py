@@ -204,39 +204,51 @@ def pagerank(
     Repeated edges count. A node without out-edges passes nothing on, so its mass
     leaves the graph; a node without in-edges has (1 - damping) / N.
 
-    The edges are laid out once by source, with hot sources split over salts, and
-    are not shuffled again; a round moves one value per node and salt, and the
-    partial sums per target.
+    A node without in-edges has the same rank in all rounds after the first, so what
+    its edges carry is summed once per target. The other edges are laid out once by
+    source, with hot sources split over salts, and are not shuffled again; a round
+    moves one value per node with in-edges and salt, and the partial sums per target.
     """
     weighted = cut_lineage(_weighted(edges))
+    targets = cut_lineage(weighted.select(F.col("dst").alias("id")).distinct())
     totals = weighted.groupBy("src").agg(
         F.sum("edges").alias("_total"), F.count(F.lit(1)).alias("_rows")
     )
-    hot = cut_lineage(hot_keys(totals, ["src"], "_rows", salt_rows))
-    shares = (
+    moves = targets.select(F.col("id").alias("src"), F.lit(True).alias("_moves"))
+    sources = cut_lineage(totals.join(moves, "src", "left"))
+    hot = cut_lineage(hot_keys(sources, ["src"], "_rows", salt_rows))
+    shares = cut_lineage(
         salted(weighted, ["src"], hot, ["dst"])
-        .join(repeated(totals.select("src", "_total"), ["src"], hot), ["src", SALT])
-        .select("src", SALT, "dst", (F.col("edges") / F.col("_total")).alias("weight"))
+        .join(repeated(sources.select("src", "_total", "_moves"), ["src"], hot), ["src", SALT])
+        .select("src", SALT, "dst", (F.col("edges") / F.col("_total")).alias("weight"), "_moves")
     )
-    pairs = weighted.count()
-    by_src = _laid_out(shares, pairs, "src", SALT)
-    vertices = _laid_out(nodes(weighted), pairs, "id")
-    size = vertices.count()
+    moving = shares.where("_moves").drop("_moves")
+    by_src = _laid_out(moving, moving.count(), "src", SALT)
+    still = (
+        shares.where("_moves IS NULL").groupBy(F.col("dst").alias("id")).agg(F.sum("weight").alias("value"))
+    )
+    reached = targets.count()
+    vertices = _laid_out(_everywhere(targets, still, "_still"), reached, "id")
+    others = sources.where("_moves IS NULL").select(F.col("src").alias("id"))
+    size = reached + others.count()
 
     base = (1.0 - damping) / max(size, 1)
-    state, kept = vertices.withColumn("value", F.lit(1.0 / max(size, 1))), None
+    # ``of_others``: the rank of every node without in-edges
+    of_others, kept = 1.0 / max(size, 1), None
+    state = vertices.select("id", F.lit(of_others).alias("value"))
     for done in range(1, iters + 1):
         received = _everywhere(vertices, _sent(by_src, "src", state, hot, "dst"), "_received")
-        state = received.select(
-            "id", (F.lit(base) + F.lit(damping) * F.col("_received")).alias("value")
-        )
+        carried = F.col("_received") + F.col("_still") * of_others
+        state, of_others = received.select("id", (F.lit(base) + F.lit(damping) * carried).alias("value")), base
+        if done == iters:
+            state = state.unionByName(others.withColumn("value", F.lit(of_others)))
         if done % ROUNDS_PER_CUT == 0 or done == iters:
             state, before = cut_lineage(state), kept
             kept = state
             release(*[before] if before is not None else [])
     for layout in (by_src, vertices):
         layout.unpersist()
-    release(weighted, hot)
+    release(weighted, targets, sources, hot, shares)
     return state.withColumnRenamed("value", "rank")
 
 
@@ -255,29 +267,35 @@ def hits(edges: DataFrame, iters: int = 10, salt_rows: int = SALT_ROWS) -> DataF
     """
     weighted = cut_lineage(_weighted(edges).withColumnRenamed("edges", "weight"))
     pairs = weighted.count()
-    hot, layouts = {}, {}
+    hot, layouts, counts = {}, {}, {}
     for end, other in (("src", "dst"), ("dst", "src")):
-        counts = weighted.groupBy(end).agg(F.count(F.lit(1)).alias("_rows"))
-        hot[end] = cut_lineage(hot_keys(counts, [end], "_rows", salt_rows))
+        counts[end] = cut_lineage(weighted.groupBy(end).agg(F.count(F.lit(1)).alias("_rows")))
+        hot[end] = cut_lineage(hot_keys(counts[end], [end], "_rows", salt_rows))
         layouts[end] = _laid_out(salted(weighted, [end], hot[end], [other]), pairs, end, SALT)
-    vertices = _laid_out(nodes(weighted), pairs, "id")
+    ends = [counts[end].select(F.col(end).alias("id")) for end in ("src", "dst")]
+    vertices = ends[0].unionAll(ends[1]).distinct()
 
-    hub = vertices.withColumn("value", F.lit(1.0))
+    # nodes without out-edges have no hub in any round: nobody asks for theirs
+    hub = ends[0].withColumn("value", F.lit(1.0))
     state = vertices.select("id", F.lit(1.0).alias("hub"), F.lit(1.0).alias("auth"))
     kept = None
     for done in range(1, iters + 1):
         auth = _sent(layouts["src"], "src", hub, hot["src"], "dst")
-        hub = _sent(layouts["dst"], "dst", auth, hot["dst"], "src")
-        if done % ROUNDS_PER_CUT == 0 or done == iters:
+        if done < iters:
+            hub = _sent(layouts["dst"], "dst", auth, hot["dst"], "src")
+            if done % ROUNDS_PER_CUT == 0:
+                hub, before = cut_lineage(hub), kept
+                kept = hub
+                release(*[before] if before is not None else [])
+                hub = hub.select("id", _unit(hub, "value"))
+        else:
             # the hub step needs the authorities as well: written once, read by both
             met = cut_lineage(auth)
             hub = _sent(layouts["dst"], "dst", met, hot["dst"], "src")
             raw = cut_lineage(_everywhere(_everywhere(vertices, met, "auth"), hub, "hub"))
             release(met, *[kept] if kept is not None else [])
-            kept = raw
             state = raw.select("id", _unit(raw, "hub"), _unit(raw, "auth"))
-            hub = state.select("id", F.col("hub").alias("value"))
-    for layout in (*layouts.values(), vertices):
+    for layout in layouts.values():
         layout.unpersist()
-    release(weighted, *hot.values())
+    release(weighted, *hot.values(), *counts.values())
     return state.orderBy(F.desc("auth"), "id")

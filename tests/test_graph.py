@@ -120,6 +120,20 @@ def test_hits(spark, edges, salt_rows):
     assert {k: v[1] for k, v in found.items()} == pytest.approx(dict(zip(ids, auth)))
 
 
+def test_rounds_move_only_what_changes(spark, monkeypatch):
+    # 60 sources that nobody links to, and a ring of three
+    edges = [(f"s{i}", "abc"[i % 3]) for i in range(60)] + [("a", "b"), ("b", "c"), ("c", "a")]
+    laid, tables, lay, cut = [], [], graph._laid_out, graph.cut_lineage
+    monkeypatch.setattr(graph, "_laid_out", lambda df, *rest: (laid.append(df.count()), lay(df, *rest))[1])
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: (tables.append(df.columns), cut(df))[1])
+    found = {r.id: r.rank for r in graph.pagerank(make(spark, edges)).collect()}
+    assert found == pytest.approx(power_rank(edges))
+    assert laid == [3, 3]
+    assert graph.hits(make(spark, edges)).count() == 63
+    # all nodes are written once, after the last round
+    assert [c for c in tables if "auth" in c] == [["id", "auth", "hub"]]
+
+
 def test_only_live_tables_stay(spark):
     from loomwork.shared import hadoop_path, shared_folder
 
