@@ -46,25 +46,35 @@ class Passages:
 
 
 _LOW = np.uint64(0xFFFFFFFF)
+#: Strings that are hashed at a time.
+_BLOCK = 1 << 16
 
 
 def least_hashes(raw: np.ndarray, offsets: np.ndarray, how: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every string of ``length`` bytes within a text: its start, its text, its least hash."""
     n, k = len(raw), how.gram
-    if n < how.length:
+    count = n - how.length + 1
+    if count <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    sums = kernels.sums_of(raw)
-    grams = kernels.mix((sums[k:] - sums[:-k]) * kernels.inverse_powers(n + 1)[: n - k + 1])
-    least, span, width = grams, 1, how.length - k + 1
-    while 2 * span <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < width:
-        least = np.minimum(least[: -(width - span)], least[width - span :])
-    starts = np.arange(len(least))
-    text = np.searchsorted(offsets, starts, "right") - 1
-    inside = starts + how.length <= offsets[text + 1]
-    return starts[inside], text[inside], least[inside]
+    least, block = np.empty(count, dtype=np.uint64), min(count, _BLOCK)
+    inverse = kernels.inverse_powers(block + how.length - k)
+    # blocks stay in the cache; a hash does not depend on the place
+    for begin in range(0, count, block):
+        end = min(begin + block, count)
+        sums = kernels.sums_of(raw[begin : end + how.length - 1])
+        grams = kernels.mix((sums[k:] - sums[:-k]) * inverse[: len(sums) - k])
+        low, span, width = grams, 1, how.length - k + 1
+        while 2 * span <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        if span < width:
+            low = np.minimum(low[: -(width - span)], low[width - span :])
+        least[begin:end] = low
+    sizes = np.diff(offsets)
+    whole = np.maximum(sizes - how.length + 1, 0)
+    text = np.repeat(np.arange(len(sizes)), whole)
+    starts = np.arange(len(text)) + np.repeat(offsets[:-1] - (np.cumsum(whole) - whole), whole)
+    return starts, text, least[starts]
 
 
 def keys_of(least: np.ndarray, shards: int) -> np.ndarray:
@@ -243,15 +253,22 @@ def _pieces(asked: DataFrame, how: Passages, shards: int, hot: np.ndarray) -> Da
                 starts, text, least = least_hashes(raw, offsets, how)
                 if len(starts) == 0:
                     continue
-                keys = keys_of(least, shards)
+                # strings next to each other mostly share their least hash
+                change = np.ones(len(starts), dtype=bool)
+                change[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+                heads = np.flatnonzero(change)
+                lengths = np.diff(heads, append=len(starts))
+                keys = keys_of(least[heads], shards)
                 lists = batch.column(2).slice(begin, end - begin)
                 sizes = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
                 flat = pa.compute.list_flatten(lists).to_numpy(zero_copy_only=False)
                 # a key is asked for per text
                 salt = kernels.mix(np.arange(len(sizes), dtype=np.uint64) + np.uint64(1))
                 wanted = np.unique(kernels.mix(flat.astype(np.uint64)) ^ np.repeat(salt, sizes))
-                is_asked = np.isin(kernels.mix(keys.astype(np.uint64)) ^ salt[text], wanted)
-                starts, text, keys = starts[is_asked], text[is_asked], keys[is_asked]
+                is_asked = np.isin(kernels.mix(keys.astype(np.uint64)) ^ salt[text[heads]], wanted)
+                keys = np.repeat(keys[is_asked], lengths[is_asked])
+                is_asked = np.repeat(is_asked, lengths)
+                starts, text = starts[is_asked], text[is_asked]
                 if len(starts) == 0:
                     continue
                 single = np.isin(keys, hot)
@@ -316,9 +333,11 @@ def covered(ids: np.ndarray, starts: np.ndarray, data: np.ndarray, sizes: np.nda
     symbols = text.astype(np.int64) + 2
     symbols[ends] = 1
     order = suffix_array(symbols, how.length)
-    piece = np.searchsorted(ends, order)
-    whole = order + how.length <= ends[piece]
-    order, piece = order[whole], piece[whole]
+    of_byte = np.repeat(np.arange(len(sizes)), sizes + 1)
+    whole = np.zeros(len(text), dtype=bool)
+    whole[: max(len(text) - how.length, 0)] = of_byte[: -how.length] == of_byte[how.length :]
+    order = order[whole[order]]
+    piece = of_byte[order]
     # neighbours in the order with the same first bytes, eight bytes at a time
     words = np.ndarray((max(len(text) - 7, 0),), "<u8", buffer=text, strides=(1,))
     same = np.ones(len(order), dtype=bool)
@@ -338,7 +357,7 @@ def covered(ids: np.ndarray, starts: np.ndarray, data: np.ndarray, sizes: np.nda
     gone = np.sort(order[ids[piece] > least])
     if len(gone) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner = np.searchsorted(ends, gone)
+    owner = of_byte[gone]
     first = np.ones(len(gone), dtype=bool)
     first[1:] = (gone[1:] > gone[:-1] + how.length) | (owner[1:] != owner[:-1])
     heads = np.flatnonzero(first)
@@ -465,10 +484,14 @@ def suffix_dedup(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
+            sizes = pa.compute.list_value_length(batch.column(2)).fill_null(0)
+            ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+            lost = pa.compute.list_flatten(batch.column(2))
+            starts, stops = (pa.compute.struct_field(lost, k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for i in range(batch.num_rows):
                 text = (batch.column(1)[i].as_py() or "").encode()
-                lost = batch.column(2)[i].as_py() or []
-                left, spans = remaining(text, [(s["start"], s["stop"]) for s in lost])
+                own = slice(int(ends[i - 1]) if i else 0, int(ends[i]))
+                left, spans = remaining(text, list(zip(starts[own].tolist(), stops[own].tolist())))
                 digest = hashlib.sha256(left).hexdigest()
                 made.append((len(text), len(text) - len(left), spans, digest))
             columns = list(zip(*made)) if made else [[], [], [], []]

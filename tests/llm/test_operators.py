@@ -422,6 +422,23 @@ def test_suffix_array(symbols, enough):
     assert prefixes == sorted(prefixes)
 
 
+@given(st.lists(st.text("ab", max_size=60), min_size=1, max_size=6), st.integers(1, 30))
+@settings(max_examples=100, deadline=None)
+def test_least_hashes_over_blocks(texts, block):
+    how = suffix_dedup.Passages(length=12, gram=5)
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    expected = [(int(offsets[i]) + p, i, t[p : p + 12]) for i, t in enumerate(texts) for p in range(len(t) - 11)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_dedup, "_BLOCK", block)
+        starts, text, least = suffix_dedup.least_hashes(raw, offsets, how)
+    assert list(zip(starts.tolist(), text.tolist())) == [e[:2] for e in expected]
+    for (_, _, string), found in zip(expected, least.tolist()):
+        alone = np.frombuffer(string.encode(), np.uint8)
+        own = suffix_dedup.least_hashes(alone, np.array([0, 12]), how)[2]
+        assert own.tolist() == [found]
+
+
 def brute_removed(texts, length):
     first = {}
     for i, t in enumerate(texts):
