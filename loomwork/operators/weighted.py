@@ -36,13 +36,19 @@ def sampling_parameters(num_hashes: int, seed: int) -> list[list[tuple[int, int]
     ]
 
 
-def weighted_shingles(shingled: DataFrame, weights: DataFrame, salt_rows: int = SALT_ROWS) -> DataFrame:
+def weighted_shingles(
+    shingled: DataFrame, weights: DataFrame, salt_rows: int = SALT_ROWS, cells: DataFrame | None = None
+) -> DataFrame:
     """``doc_id, shingle, weight`` of each shingle with a weight over 0.
 
-    ``weights`` has ``shingle``, ``df`` (how many documents hold it) and ``idf``.
+    ``weights`` has ``shingle``, ``df`` (how many documents hold it) and ``idf``. If they come
+    from ``similarity.dealt_cells``, these are given as ``cells`` and meet them where they are.
     """
-    held = set_representation(shingled).select("doc_id", "shingle")
-    joined = attach(held, weights, ["shingle"], ["doc_id"], rows="df", salt_rows=salt_rows)
+    if cells is not None:
+        joined = cells.join(weights.hint("merge"), "shingle")
+    else:
+        held = set_representation(shingled).select("doc_id", "shingle")
+        joined = attach(held, weights, ["shingle"], ["doc_id"], rows="df", salt_rows=salt_rows)
     return joined.where("idf > 0").select("doc_id", "shingle", F.col("idf").alias("weight"))
 
 
