@@ -37,7 +37,7 @@ def clean(
         {c: F.when(early, 0.0).otherwise(F.col(c)) for c in ("near_price", "far_price")}
     )
     if lagged:
-        return in_order(kept, list(partition_by or []), order_by, _lagged(), (1,), "far_price")
+        return in_order(kept, list(partition_by or []), order_by, lagged_values(), (1,), "far_price")
     return interpolate(kept, "far_price", order_by, partition_by and list(partition_by))
 
 
@@ -54,7 +54,8 @@ def null_profile(df: DataFrame) -> DataFrame:
 LAGGED = ["imbalance_size", "bid_ask_spread"]
 
 
-def _lagged() -> dict[str, Column]:
+def lagged_values() -> dict[str, Column]:
+    """What a row has under the names of ``LAGGED``."""
     return dict(zip(LAGGED, (F.col("imbalance_size"), F.col("ask_price") - F.col("bid_price"))))
 
 
@@ -76,7 +77,7 @@ def book_features(
     if set(moves) <= set(df.columns):
         moved, df = df, df.drop(*moves)
     else:
-        moved = in_order(df, ["stock_id"], order_by, _lagged(), (1,))
+        moved = in_order(df, ["stock_id"], order_by, lagged_values(), (1,))
     # from the rows as given, so that the index does not wait for the lags
     indexed = with_index(moved, weights, spread, salt_rows, weighted_index(df, weights))
     found = with_momentum(row_features(indexed))

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from loomwork.operators import features
 from loomwork.operators.model import predict
+from loomwork.shared import cut_lineage, release
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -49,7 +50,14 @@ def lag_diff_stream(
             import numpy as np
             import pandas as pd
 
-            own = pd.concat(list(rows), ignore_index=True).sort_values(order_by, kind="stable", ignore_index=True)
+            parts = list(rows)
+            own = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+            places = [own[c].to_numpy() for c in order_by]
+            if all(p.dtype.kind in "iuf" for p in places):
+                own = own.take(np.lexsort(places[::-1]))  # stable, and much faster on few rows
+            else:
+                own = own.sort_values(order_by, kind="stable")
+            own = own.reset_index(drop=True)
             before = self.last.get() if self.last.exists() else None
             kept = []
             for i, c in enumerate(columns):
@@ -97,18 +105,24 @@ def arriving_features(
     are done. Gives the table of all rows so far.
     """
     reader = spark.readStream.schema(schema)
+    fields = T.StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    basic = features.row_features(reader.parquet(source))
-    moved = lag_diff_stream(basic, features.LAGGED, "stock_id", order_by)
+    # what a row has by itself is added after the state
+    arrived = reader.parquet(source).withColumns(features.lagged_values())
+    moved = lag_diff_stream(arrived, features.LAGGED, "stock_id", order_by)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = features.with_index(features.with_momentum(batch), weights, spread)
+        # the index and the rows both read the batch, and the state should be asked once
+        kept = cut_lineage(batch)
+        basic = features.row_features(kept.select(*fields, *[f"{c}_diff1" for c in features.LAGGED]))
+        rows = features.with_index(features.with_momentum(basic), weights, spread)
         rows = features.time_features(rows.join(stocks, "stock_id", "left"))
         rows = features.row_stats(rows)
         if model is not None:
             rows = predict(model, rows, columns)
         rows.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        release(kept)
 
     query = (
         moved.writeStream.foreachBatch(write)

@@ -73,3 +73,27 @@ def test_rows_stay_where_they_are_for_small_tables(spark):
         assert {r.stock_id: r.median_bid_size for r in middle.collect()}[0] == 199.5
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_the_state_is_asked_once_for_a_batch(spark, tmp_path, monkeypatch):
+    """The index and the rows read what a batch's pass through the state has written."""
+    from loomwork.streaming import arriving
+
+    columns = ", ".join(f"{c} double" for c in [*features.PRICE_COLS, *features.SIZE_COLS])
+    schema = f"stock_id int, date_id int, seconds_in_bucket int, time_id int, k int, {columns}"
+    data = [(i % 3, 0, 10 * i, i // 2, i, *[float(1 + (i * 7 + j) % 5) for j in range(10)]) for i in range(12)]
+    source, sink, done = (str(tmp_path / x) for x in ("in", "out", "done"))
+    book = spark.createDataFrame(data, schema)
+    book.write.parquet(source)
+    weights = spark.createDataFrame([(0, 0.5), (1, 0.25), (2, 1.0)], "stock_id int, weight double")
+    seen, indexed = [], features.with_index
+
+    def watched(df, *given, **named):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return indexed(df, *given, **named)
+
+    monkeypatch.setattr(features, "with_index", watched)
+    stocks = features.stock_features(book)
+    found = arriving.arriving_features(spark, source, schema, weights, stocks, ["time_id", "k"], ["k"], sink, done)
+    assert found.count() == 12 and len(seen) == 1
+    assert "parquet" in seen[0] and "Transform" not in seen[0] and "LogicalRDD" not in seen[0]
