@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.functions.rowstats import add_row_statistics
-from loomwork.operators.ordered import in_order, interpolate
+from loomwork.operators.ordered import in_order, interpolate, lag_diff
 from loomwork.operators.positions import same_keys
 from loomwork.operators.ranks import medians
 from loomwork.operators.skew import SALT_ROWS, look_up
@@ -73,11 +73,11 @@ def book_features(
     division by zero gives null. Rows that ``clean`` has given their lags are not sorted again.
     """
     # what a row has by itself is added last, and is neither sorted nor joined
-    moves = [f"{c}_diff1" for c in LAGGED]
+    moves, gap = [f"{c}_diff1" for c in LAGGED], lagged_values()["bid_ask_spread"]
     if set(moves) <= set(df.columns):
         moved, df = df, df.drop(*moves)
     else:
-        moved = in_order(df, ["stock_id"], order_by, lagged_values(), (1,))
+        moved = lag_diff(df.withColumn("bid_ask_spread", gap), LAGGED, ["stock_id"], order_by).drop("bid_ask_spread")
     # from the rows as given, so that the index does not wait for the lags
     indexed = with_index(moved, weights, spread, salt_rows, weighted_index(df, weights))
     found = with_momentum(row_features(indexed))
